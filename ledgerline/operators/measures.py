@@ -85,9 +85,23 @@ def funding_measures(df: DataFrame) -> DataFrame:
     return typed.selectExpr(*projections).withColumn("policy_version", F.lit(POLICY_VERSION))
 
 
-def identity_violations(gold: DataFrame) -> DataFrame:
-    """Rows breaking net_payable = eligible_sales - total_deductions + total_credits (or NULL)."""
-    return gold.filter(
-        F.col("net_payable").isNull()
-        | (F.col("net_payable") != F.col("eligible_sales") - F.col("total_deductions") + F.col("total_credits"))
+def identity_broken():
+    """True when net_payable is NULL or differs from eligible_sales - total_deductions + total_credits."""
+    return F.coalesce(
+        F.col("net_payable") != F.col("eligible_sales") - F.col("total_deductions") + F.col("total_credits"),
+        F.lit(True),
     )
+
+
+def identity_violation_count(gold: DataFrame) -> DataFrame:
+    """One row: number of rows breaking the funding identity.
+
+    A conditional sum rather than ``filter().count()``: a filter would be pushed down through the
+    staged measure projections and inline the whole formula chain into one huge predicate.
+    """
+    return gold.agg(F.coalesce(F.sum(F.when(identity_broken(), 1).otherwise(0)), F.lit(0)).alias("violations"))
+
+
+def identity_violations(gold: DataFrame) -> DataFrame:
+    """The rows breaking the identity; meant for a persisted or written gold_funding."""
+    return gold.filter(identity_broken())

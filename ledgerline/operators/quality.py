@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.contracts import MAX_EXCEPTION_RATIO, MAX_QUARANTINE_RATIO, MIN_FUNDING_RECORDS
-from ledgerline.operators.measures import identity_violations
+from ledgerline.operators.measures import identity_violation_count
 from ledgerline.operators.validation import ERRORS
 
 
@@ -100,7 +100,7 @@ def quality_gates(
     conservation = F.col("input") - F.col("valid") - F.col("quarantined") - F.col("duplicate_versions")
     ratio = F.col("quarantined") / F.greatest(F.col("input"), F.lit(1))
     funding_valid = m.filter(F.col("source") == "funding").agg(F.coalesce(F.sum("valid"), F.lit(0)).alias("v"))
-    broken = identity_violations(gold_funding).agg(F.count(F.lit(1)).alias("n"))
+    broken = identity_violation_count(gold_funding).withColumnRenamed("violations", "n")
     totals = reconciliation.agg(
         F.count(F.lit(1)).alias("total"),
         F.coalesce(F.sum(F.when(F.col("status") != "MATCHED", 1).otherwise(0)), F.lit(0)).alias("exceptions"),

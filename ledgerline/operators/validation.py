@@ -35,51 +35,65 @@ def _reason(condition: Column, label: str) -> Column:
     return F.when(condition, F.lit(label))
 
 
+def _probe(name: str, suffix: str) -> str:
+    return f"_{name}__{suffix}"
+
+
+def probes(kind: str) -> dict[str, Column]:
+    """Every raw-text cast the rules need, each computed once per row."""
+    check_kind(kind)
+    out = {
+        _probe("event_date", "date"): F.col("event_date").try_cast("date"),
+        _probe("updated_at", "ts"): F.col("updated_at").try_cast("timestamp"),
+    }
+    if kind == "funding":
+        for name in FUNDING_NON_NEGATIVE:
+            out[_probe(name, "p6")] = F.col(name).try_cast(MONEY_PROBE)
+        for name in RATE_FIELDS:
+            out[_probe(name, "rate")] = F.col(name).try_cast(RATE)
+            out[_probe(name, "p18")] = F.col(name).try_cast(PRECISE_PROBE)
+    for name in MONEY_FIELDS[kind]:
+        out[_probe(name, "money")] = F.col(name).try_cast(MONEY)
+        out[_probe(name, "p18")] = F.col(name).try_cast(PRECISE_PROBE)
+    return out
+
+
 def reasons(kind: str, batch_date: Column | str) -> list[Column]:
-    """Ordered reason expressions for one source kind."""
+    """Ordered reason expressions for one source kind, over the ``probes`` columns."""
     check_kind(kind)
     batch = F.lit(batch_date) if isinstance(batch_date, str) else batch_date
+    p = lambda name, suffix: F.col(_probe(name, suffix))
     out = [_reason(blank(name), f"missing_{name}") for name in REQUIRED[kind]]
     out.append(_reason(F.col("currency") != CURRENCY, "unsupported_currency"))
-    out.append(
-        _reason(
-            F.col("event_date").try_cast("date").isNull() | (F.col("event_date") != batch),
-            "invalid_batch_date",
-        )
-    )
-    out.append(_reason(F.col("updated_at").try_cast("timestamp").isNull(), "invalid_updated_at"))
+    out.append(_reason(p("event_date", "date").isNull() | (F.col("event_date") != batch), "invalid_batch_date"))
+    out.append(_reason(p("updated_at", "ts").isNull(), "invalid_updated_at"))
     if kind == "funding":
         for name in FUNDING_NON_NEGATIVE:
-            value = F.col(name).try_cast(MONEY_PROBE)
+            value = p(name, "p6")
             minimum = 1 if name == "quantity" else 0
             out.append(_reason(value.isNull() | (value < minimum), f"invalid_{name}"))
-        whole = int_quantity("quantity")
+        # Non-ANSI integer reading: '3.0' is 3, exponent notation is not an integer.
+        whole = F.when(~F.col("quantity").rlike("[eE]"), p("quantity", "p6").try_cast("int"))
         out.append(
             _reason(
-                whole.isNull()
-                | (F.col("quantity").try_cast(MONEY_PROBE) != whole)
-                | (whole > MAX_QUANTITY),
+                whole.isNull() | (p("quantity", "p6") != whole) | (whole > MAX_QUANTITY),
                 "invalid_integer_quantity",
             )
         )
         for name in RATE_FIELDS:
-            value = F.col(name).try_cast(RATE)
+            value = p(name, "rate")
             out.append(
                 _reason(
-                    value.isNull()
-                    | (value < 0)
-                    | (value > 1)
-                    | (F.col(name).try_cast(PRECISE_PROBE) != value),
+                    value.isNull() | (value < 0) | (value > 1) | (p(name, "p18") != value),
                     f"invalid_{name}",
                 )
             )
-        out.append(_reason(F.col("adjustment").try_cast(MONEY).isNull(), "invalid_adjustment"))
+        out.append(_reason(p("adjustment", "money").isNull(), "invalid_adjustment"))
     else:
-        out.append(_reason(F.col("amount").try_cast(MONEY).isNull(), "invalid_amount"))
+        out.append(_reason(p("amount", "money").isNull(), "invalid_amount"))
     limit = F.lit(MONEY_LIMIT).cast(MONEY)
     for name in MONEY_FIELDS[kind]:
-        precise = F.col(name).try_cast(PRECISE_PROBE)
-        value = F.col(name).try_cast(MONEY)
+        precise, value = p(name, "p18"), p(name, "money")
         out.append(
             _reason(
                 precise.isNull() | value.isNull() | (precise != value) | (F.abs(precise) > limit),
@@ -92,7 +106,9 @@ def reasons(kind: str, batch_date: Column | str) -> list[Column]:
 def tag(df: DataFrame, kind: str, batch_date: Column | str = "batch_date") -> DataFrame:
     """Add ``quality_errors`` ('' when valid). ``batch_date`` is a column name or a literal date."""
     batch = F.col(batch_date) if isinstance(batch_date, str) and batch_date in df.columns else batch_date
-    return df.withColumn(ERRORS, F.concat_ws("|", *reasons(kind, batch)))
+    probe = probes(kind)
+    probed = df.select("*", *[c.alias(name) for name, c in probe.items()])
+    return probed.withColumn(ERRORS, F.concat_ws("|", *reasons(kind, batch))).drop(*probe)
 
 
 def validate(df: DataFrame, kind: str, batch_date: Column | str = "batch_date") -> tuple[DataFrame, DataFrame]:

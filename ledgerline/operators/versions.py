@@ -20,18 +20,33 @@ def content_digest(columns: list[str] | tuple[str, ...]) -> Column:
     return F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]), 256)
 
 
-def latest(df: DataFrame, key: str, hash_columns: list[str] | tuple[str, ...] | None = None) -> DataFrame:
-    """One row per ``key``: latest ``updated_at``, ties broken by ``content_digest`` (descending)."""
-    columns = list(df.columns)
-    hashed = list(hash_columns) if hash_columns is not None else [c for c in columns if c != "source_file"]
-    best = F.max(
-        F.struct(
-            timestamp_or_null("updated_at").alias("ts"),
-            content_digest(hashed).alias("digest"),
-            F.struct(*[F.col(c) for c in columns]).alias("row"),
-        )
-    ).alias("_best")
-    return df.groupBy(F.col(key).alias("_key")).agg(best).select("_best.row.*")
+def latest(
+    df: DataFrame,
+    key: str,
+    hash_columns: list[str] | tuple[str, ...] | None = None,
+    where: Column | None = None,
+    columns: list[str] | tuple[str, ...] | None = None,
+) -> DataFrame:
+    """One row per ``key``: latest ``updated_at``, ties broken by ``content_digest`` (descending).
+
+    ``where`` restricts the candidates inside the aggregate (``max`` ignores NULLs) instead of a
+    filter in front of it; Catalyst would push such a filter below the projections that compute
+    it and evaluate the expression twice. ``columns`` selects the output columns (default all).
+    """
+    out = list(columns) if columns is not None else list(df.columns)
+    hashed = list(hash_columns) if hash_columns is not None else [c for c in out if c != "source_file"]
+    candidate = F.struct(
+        timestamp_or_null("updated_at").alias("ts"),
+        content_digest(hashed).alias("digest"),
+        F.struct(*[F.col(c) for c in out]).alias("row"),
+    )
+    if where is not None:
+        candidate = F.when(where, candidate)
+    best = F.max(candidate).alias("_best")
+    picked = df.groupBy(F.col(key).alias("_key")).agg(best)
+    if where is not None:
+        picked = picked.filter(F.col("_best").isNotNull())
+    return picked.select("_best.row.*")
 
 
 def version_counts(df: DataFrame, key: str) -> DataFrame:

@@ -7,12 +7,13 @@ Spark reuses the shared exchange (``ReusedExchange``) instead of recomputing it.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.measures import funding_measures
 from ledgerline.operators.validation import tag
-from ledgerline.plans.ledger import Ledger, as_of, silver
+from ledgerline.plans.ledger import Ledger, _keep, as_of, silver
 from ledgerline.sources.adapter import funding_drops, payout_drops
 
 LINEITEM_COLUMNS = (
@@ -34,8 +35,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def balanced(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer splits than the session has cores (e.g. one file with a
+    single row group) round-robin over the cores. Large inputs already have many splits and are
+    left untouched, so this never adds a shuffle at scale.
+
+    The spread copy is persisted (MEMORY_AND_DISK): a bare repartition is no barrier, Catalyst
+    would push the validation filter below it and run it in the one scan task again. Identical
+    plans share one cache entry, so repeated reads of the same table reuse it."""
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < parallelism:
+        return df.repartition(parallelism).persist(StorageLevel.MEMORY_AND_DISK)
+    return df
+
+
 def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS)
+    return balanced(read_table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS))
 
 
 def raw_funding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,17 +68,37 @@ def raw_payouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payout_drops(gold)
 
 
-def adapted_ledger(spark: SparkSession, sf_dir: str, as_of_date: str | None = None, cross_date: bool = True) -> Ledger:
-    """The full ledger over ``lineitem``-derived drops (as of ``as_of_date`` if given)."""
+def adapted_ledger(
+    spark: SparkSession,
+    sf_dir: str,
+    as_of_date: str | None = None,
+    cross_date: bool = True,
+    persist: bool = False,
+) -> Ledger:
+    """The full ledger over ``lineitem``-derived drops (as of ``as_of_date`` if given).
+
+    With ``persist`` the frames reused by several outputs (silver, gold, reconciliation) are kept
+    MEMORY_AND_DISK, as a publishing job that writes eight datasets wants.
+    """
     from ledgerline.operators.reconcile import reconcile
 
+    kept: list[DataFrame] = []
     funding_raw = as_of(raw_funding(spark, sf_dir), as_of_date)
-    tagged_f, silver_f, gold = gold_from_raw(funding_raw)
+    tagged_f = tag(funding_raw, "funding")
+    silver_f = _keep(silver(tagged_f, "funding"), persist, kept)
+    gold = _keep(funding_measures(silver_f), persist, kept)
     payouts_raw = as_of(payout_drops(gold), as_of_date)
     tagged_p = tag(payouts_raw, "payouts")
-    silver_p = silver(tagged_p, "payouts")
-    result = reconcile(gold, silver_p, cross_date=cross_date)
-    return Ledger({"funding": tagged_f, "payouts": tagged_p}, {"funding": silver_f, "payouts": silver_p}, gold, result, cross_date)
+    silver_p = _keep(silver(tagged_p, "payouts"), persist, kept)
+    result = _keep(reconcile(gold, silver_p, cross_date=cross_date), persist, kept)
+    return Ledger(
+        {"funding": tagged_f, "payouts": tagged_p},
+        {"funding": silver_f, "payouts": silver_p},
+        gold,
+        result,
+        cross_date,
+        kept,
+    )
 
 
 def partition_dates(raw: DataFrame) -> DataFrame:

@@ -26,8 +26,13 @@ from ledgerline.operators.versions import latest
 
 def silver(tagged: DataFrame, kind: str) -> DataFrame:
     """Latest valid version of each record: contract text columns + source_file."""
-    good = tagged.filter(F.col(ERRORS) == "").select(*FIELDS[kind], "source_file")
-    return latest(good, KEY[kind], hash_columns=FIELDS[kind])
+    return latest(
+        tagged,
+        KEY[kind],
+        hash_columns=FIELDS[kind],
+        where=F.col(ERRORS) == "",
+        columns=[*FIELDS[kind], "source_file"],
+    )
 
 
 def rejected(tagged: DataFrame, kind: str) -> DataFrame:

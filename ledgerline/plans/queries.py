@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerline.contracts import FUNDING_FIELDS, PAYOUT_FIELDS
 from ledgerline.operators import reconcile as rec
 from ledgerline.operators import summaries as summ
-from ledgerline.operators.measures import identity_violations
+from ledgerline.operators.measures import identity_violation_count as violation_count
 from ledgerline.operators.quality import quality_gates, quality_metrics
 from ledgerline.operators.validation import ERRORS, quarantine, reason_counts
 from ledgerline.plans.adapted import adapted_ledger, gold_from_raw, raw_funding
@@ -83,7 +83,7 @@ def funding_measures(spark, sf_dir):
 
 def identity_violation_count(spark, sf_dir):
     _, _, gold = gold_from_raw(raw_funding(spark, sf_dir))
-    return identity_violations(gold).agg(F.count(F.lit(1)).alias("violations"))
+    return violation_count(gold)
 
 
 def reversal_reference_counts(spark, sf_dir):
