@@ -133,3 +133,31 @@ def enforce(gates: DataFrame) -> dict:
             described = "quarantine ratio: " + described
         raise QualityFailure(described)
     return {"checks": "PASSED", "observed": observed, "exception_ratio": observed.get("exception_ratio", 0.0)}
+
+
+def gate_alerts(gates: DataFrame, metrics: DataFrame) -> DataFrame:
+    """Alert rows implied by a gate table: ERROR per failed gate; one WARNING when anything was
+    quarantined or the exception ratio is above zero (S9)."""
+    errors = gates.filter(~F.col("passed")).select(
+        F.lit("ERROR").alias("severity"),
+        F.lit("QUALITY_GATE_FAILED").alias("category"),
+        F.col("gate").alias("subject"),
+        F.col("observed"),
+    )
+    signals = (
+        metrics.select(F.col("quarantined").cast("bigint").alias("q"), F.lit(0.0).alias("r"))
+        .unionByName(
+            gates.filter(F.col("gate") == "exception_ratio").select(F.lit(0).cast("bigint").alias("q"), F.col("observed").alias("r"))
+        )
+        .agg(F.coalesce(F.sum("q"), F.lit(0)).alias("q"), F.coalesce(F.max("r"), F.lit(0.0)).alias("r"))
+    )
+    warning = (
+        signals.filter((F.col("q") > 0) | (F.col("r") > 0))
+        .select(
+            F.lit("WARNING").alias("severity"),
+            F.lit("QUALITY_EXCEPTIONS").alias("category"),
+            F.lit("quality").alias("subject"),
+            F.col("r").alias("observed"),
+        )
+    )
+    return errors.unionByName(warning)

@@ -184,3 +184,151 @@ QUERIES: dict[str, Query] = {
     "quality_metrics": metrics,
     "quality_gates": gates,
 }
+
+
+# ---------------------------------------------------------------------------
+# Reader, publication and operations queries.
+# The run history is derived from the partition dates of the funding drops: one run per as-of
+# date, a replay on every 7th day of a month and a failed run on the 13th; ledger rows carry the
+# run of their drop date (the failed run's on the 13th).
+# ---------------------------------------------------------------------------
+from ledgerline.contracts import POLICY_VERSION  # noqa: E402
+from ledgerline.operators import operations as ops  # noqa: E402
+from ledgerline.operators import reader  # noqa: E402
+from ledgerline.sources.tables import current_run, published  # noqa: E402
+
+RETENTION_CUTOFF = "2001-06-01T00:00:00+00:00"
+ORPHAN_CUTOFF = "2002-01-01T00:00:00+00:00"
+HEALTH_NOW = "2001-11-05T12:00:00+00:00"
+AS_OF = "1998-06-30"
+PAGE = dict(status="MATCHED", page=3, size=25)
+SEARCH = "V000012"
+
+
+def _run_id(date_col, suffix: str):
+    return F.substring(F.sha2(F.concat(date_col, F.lit(suffix)), 256), 1, 32)
+
+
+def derived_audit(spark, sf_dir):
+    dates = raw_funding(spark, sf_dir).select("batch_date").distinct()
+    day = F.dayofmonth(F.col("batch_date").try_cast("date"))
+
+    def run(suffix, hour, status, keep):
+        return dates.filter(keep).select(
+            _run_id(F.col("batch_date"), suffix).alias("run_id"),
+            "batch_date",
+            F.lit(status).alias("status"),
+            F.concat("batch_date", F.lit(f"T{hour}:00:00+00:00")).alias("completed_at"),
+            F.lit(POLICY_VERSION).alias("policy_version"),
+            F.lit("{}").alias("quality_json"),
+        )
+
+    return (
+        run("#1", "03", "SUCCEEDED", F.lit(True))
+        .unionByName(run("#2", "05", "SUCCEEDED", day % 7 == 0))
+        .unionByName(run("#3", "06", "FAILED", day == 13))
+    )
+
+
+def _stamped(df, date_column="event_date"):
+    """Ledger rows with the lineage of the run that wrote them."""
+    failed = F.dayofmonth(F.col(date_column).try_cast("date")) == 13
+    suffix = F.when(failed, F.lit("#3")).otherwise(F.lit("#1"))
+    hour = F.when(failed, F.lit("T06:00:00+00:00")).otherwise(F.lit("T03:00:00+00:00"))
+    return df.withColumns(
+        {
+            "run_id": F.substring(F.sha2(F.concat(F.col(date_column), suffix), 256), 1, 32),
+            "batch_date": F.col(date_column),
+            "written_at": F.concat(F.col(date_column), hour).try_cast("timestamp"),
+        }
+    )
+
+
+def current_snapshot(spark, sf_dir):
+    return current_run(derived_audit(spark, sf_dir))
+
+
+def superseded_runs(spark, sf_dir):
+    return ops.superseded_runs(derived_audit(spark, sf_dir), RETENTION_CUTOFF)
+
+
+def published_rows(spark, sf_dir):
+    _, _, gold = gold_from_raw(raw_funding(spark, sf_dir))
+    rows = _stamped(gold.select("record_id", "vendor_id", "event_date", "net_payable"))
+    return published(rows, derived_audit(spark, sf_dir)).select("record_id", "vendor_id", "event_date", "net_payable", "run_id")
+
+
+def orphan_rows(spark, sf_dir):
+    _, silver_funding, gold = gold_from_raw(raw_funding(spark, sf_dir))
+    payouts = _silver_payouts(spark, sf_dir)
+    tables = {
+        "gold_funding": _stamped(gold.select("record_id", "event_date")),
+        "silver_payouts": _stamped(payouts.select("payout_id", "event_date")),
+    }
+    return ops.orphan_rows(tables, derived_audit(spark, sf_dir), ORPHAN_CUTOFF)
+
+
+def freshness(spark, sf_dir):
+    return ops.freshness(derived_audit(spark, sf_dir), HEALTH_NOW)
+
+
+def ledger_page(spark, sf_dir):
+    return _ids_text(reader.ledger_page(_recon(spark, sf_dir), **PAGE))
+
+
+def ledger_search_count(spark, sf_dir):
+    return reader.ledger_count(_recon(spark, sf_dir), search=SEARCH)
+
+
+def record_drilldown(spark, sf_dir):
+    recon = _recon(spark, sf_dir)
+    first = recon.filter(F.col("status") == "INVALID_REVERSAL").agg(F.min("record_id").alias("r")).collect()[0]["r"]
+    _, _, gold = gold_from_raw(raw_funding(spark, sf_dir))
+    parts = reader.record_drilldown(gold, recon, _silver_payouts(spark, sf_dir), first)
+    return parts["payouts"]
+
+
+def as_of_status_counts(spark, sf_dir):
+    from ledgerline.operators.summaries import status_distribution as dist
+
+    return dist(adapted_ledger(spark, sf_dir, as_of_date=AS_OF).reconciliation)
+
+
+def replay_diff(spark, sf_dir):
+    return ops.replay_diff(_recon(spark, sf_dir), _recon(spark, sf_dir))
+
+
+def gate_alerts(spark, sf_dir):
+    from ledgerline.operators.quality import gate_alerts as alerts
+
+    led = adapted_ledger(spark, sf_dir)
+    m = quality_metrics(led.tagged, led.silver)
+    return alerts(quality_gates(m, led.gold_funding, led.reconciliation), m)
+
+
+def output_counts(spark, sf_dir):
+    from functools import reduce
+
+    from pyspark.sql import DataFrame as _DF
+
+    datasets = adapted_ledger(spark, sf_dir).datasets()
+    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("dataset"), "rows") for n, df in datasets.items()]
+    return reduce(_DF.unionByName, parts)
+
+
+QUERIES.update(
+    {
+        "current_snapshot": current_snapshot,
+        "superseded_runs": superseded_runs,
+        "published_rows": published_rows,
+        "orphan_rows": orphan_rows,
+        "freshness": freshness,
+        "ledger_page": ledger_page,
+        "ledger_search_count": ledger_search_count,
+        "record_drilldown": record_drilldown,
+        "as_of_status_counts": as_of_status_counts,
+        "replay_diff": replay_diff,
+        "alerts": gate_alerts,
+        "output_counts": output_counts,
+    }
+)
