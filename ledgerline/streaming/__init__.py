@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The ledger has no streaming operator. Late settlements and corrections are handled by
+rebuilding the as-of snapshot from all daily drops up to the as-of date (a bounded batch job),
+not by incremental state, so nothing here is registered or used.
+"""
