@@ -7,7 +7,6 @@ Spark reuses the shared exchange (``ReusedExchange``) instead of recomputing it.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,14 +37,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def balanced(df: DataFrame) -> DataFrame:
     """Spread a scan that yields fewer splits than the session has cores (e.g. one file with a
     single row group) round-robin over the cores. Large inputs already have many splits and are
-    left untouched, so this never adds a shuffle at scale.
-
-    The spread copy is persisted (MEMORY_AND_DISK): a bare repartition is no barrier, Catalyst
-    would push the validation filter below it and run it in the one scan task again. Identical
-    plans share one cache entry, so repeated reads of the same table reuse it."""
+    left untouched, so this never adds a shuffle at scale. (Not persisted: a cached scan would
+    stop AQE from reusing identical exchanges of the funding branch.)"""
     parallelism = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < parallelism:
-        return df.repartition(parallelism).persist(StorageLevel.MEMORY_AND_DISK)
+        return df.repartition(parallelism)
     return df
 
 
@@ -77,18 +73,19 @@ def adapted_ledger(
 ) -> Ledger:
     """The full ledger over ``lineitem``-derived drops (as of ``as_of_date`` if given).
 
-    With ``persist`` the frames reused by several outputs (silver, gold, reconciliation) are kept
-    MEMORY_AND_DISK, as a publishing job that writes eight datasets wants.
+    With ``persist`` the frames reused by several outputs (tagged raw rows, silver, gold,
+    reconciliation) are kept MEMORY_AND_DISK, as a publishing job that writes eight datasets
+    wants: the input is parsed and validated once for metrics, silver and quarantine.
     """
     from ledgerline.operators.reconcile import reconcile
 
     kept: list[DataFrame] = []
     funding_raw = as_of(raw_funding(spark, sf_dir), as_of_date)
-    tagged_f = tag(funding_raw, "funding")
+    tagged_f = _keep(tag(funding_raw, "funding"), persist, kept)
     silver_f = _keep(silver(tagged_f, "funding"), persist, kept)
     gold = _keep(funding_measures(silver_f), persist, kept)
     payouts_raw = as_of(payout_drops(gold), as_of_date)
-    tagged_p = tag(payouts_raw, "payouts")
+    tagged_p = _keep(tag(payouts_raw, "payouts"), persist, kept)
     silver_p = _keep(silver(tagged_p, "payouts"), persist, kept)
     result = _keep(reconcile(gold, silver_p, cross_date=cross_date), persist, kept)
     return Ledger(

@@ -95,8 +95,8 @@ def assemble(
     """Build the ledger from raw rows (contract text columns + batch_date + source_file)."""
     kept: list[DataFrame] = []
     tagged = {
-        "funding": tag(as_of(funding_raw, as_of_date), "funding"),
-        "payouts": tag(as_of(payouts_raw, as_of_date), "payouts"),
+        "funding": _keep(tag(as_of(funding_raw, as_of_date), "funding"), persist, kept),
+        "payouts": _keep(tag(as_of(payouts_raw, as_of_date), "payouts"), persist, kept),
     }
     silvers = {kind: _keep(silver(tagged[kind], kind), persist, kept) for kind in tagged}
     gold = _keep(funding_measures(silvers["funding"]), persist, kept)
