@@ -332,3 +332,28 @@ QUERIES.update(
         "output_counts": output_counts,
     }
 )
+
+
+def _table_files(spark, sf_dir):
+    """The driver tables' parquet files (file paths from a distributed listing, not from Python)."""
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(sf_dir).select("path")
+    return [r["path"] for r in listing.collect()]  # one row per table file
+
+
+def source_fingerprint(spark, sf_dir):
+    from ledgerline.sources.fingerprints import fingerprints
+
+    return fingerprints(spark, _table_files(spark, sf_dir)).select(
+        F.regexp_extract("path", r"([^/]+)\.parquet$", 1).alias("table"), "sha256", "length"
+    )
+
+
+def source_changes(spark, sf_dir):
+    """Replay check of the inputs: fingerprints taken twice must not differ (empty result)."""
+    from ledgerline.sources.fingerprints import fingerprints, source_changes as changes
+
+    files = _table_files(spark, sf_dir)
+    return changes(fingerprints(spark, files), fingerprints(spark, files))
+
+
+QUERIES.update({"source_fingerprint": source_fingerprint, "source_changes": source_changes})

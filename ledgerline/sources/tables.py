@@ -136,3 +136,10 @@ def snapshot(spark: SparkSession, root: str, name: str, run_id: str | None = Non
     data = read_dataset(spark, root, name)
     # Literal partition values let Spark prune to the one run folder before reading any file.
     return data.filter((F.col("batch_date") == head["batch_date"]) & (F.col("run_id") == head["run_id"]))
+
+
+def create_current_view(spark: SparkSession, root: str, name: str = "gold_reconciliation", view: str = "current_reconciliation") -> DataFrame:
+    """Register ``view`` as the published run's rows of ``name`` (S11); returns the frame."""
+    data = published(read_dataset(spark, root, name), read_audit(spark, root))
+    data.createOrReplaceTempView(view)
+    return data

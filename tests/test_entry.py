@@ -9,7 +9,8 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    file_level = {"source_fingerprint", "source_changes"}
+    assert set(entry.queries()) - file_level == set(entry.oracle_sql())
 
 
 def test_small_queries_match_schema(spark):

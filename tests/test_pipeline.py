@@ -105,6 +105,10 @@ def test_replay_failure_and_backwards_guard(spark, ledger_root):
     with pytest.raises(RuntimeError):
         tables.snapshot(spark, ledger_root, "gold_reconciliation", run_id=first["run_id"])
 
+    # The SQL view of the published run (S11).
+    tables.create_current_view(spark, ledger_root)
+    assert spark.sql("SELECT count(*) AS n FROM current_reconciliation").first()["n"] == 20
+
     # Replay of the same inputs reproduces the ledger exactly.
     data = tables.read_dataset(spark, ledger_root, "gold_reconciliation")
     a = data.filter(F.col("run_id") == first["run_id"])
