@@ -95,8 +95,7 @@ def reversal_links(spark, sf_dir):
 
 
 def contra_pairs(spark, sf_dir):
-    pairs = rec.contra_pairs(_silver_payouts(spark, sf_dir), cross_date=True)
-    return pairs.withColumn("pair_rank", F.col("pair_rank").cast("bigint"))
+    return rec.contra_pairs(_silver_payouts(spark, sf_dir), cross_date=True)
 
 
 def settlement_rollup(spark, sf_dir):
