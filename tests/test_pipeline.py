@@ -177,3 +177,14 @@ def test_fingerprint_matches_hashlib(spark, ledger_root):
         expected = hashlib.sha256(handle.read()).hexdigest()
     row = fingerprints(spark, [path]).first()
     assert row["sha256"] == expected and row["key"] == "2026-10-01/funding"
+
+
+def test_malformed_row_fails_the_run(spark, ledger_root):
+    day = "2026-10-01"
+    published = run(spark, ledger_root, day, policy=QualityPolicy(max_quarantine_ratio=0.1))
+    with open(os.path.join(ledger_root, "raw", day, "payouts.csv"), "a") as handle:
+        handle.write("PX,F1,V1,2026-10-01,INR,1.00,,2026-10-01T02:00:00Z,EXTRA\n")
+    with pytest.raises(ValueError, match="schema/header"):
+        run(spark, ledger_root, day, policy=QualityPolicy(max_quarantine_ratio=0.1))
+    audit = tables.read_audit(spark, ledger_root)
+    assert tables.current_run(audit).first()["run_id"] == published["run_id"]
