@@ -37,11 +37,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def balanced(df: DataFrame) -> DataFrame:
     """Spread a scan that yields fewer splits than the session has cores (e.g. one file with a
     single row group) round-robin over the cores. Large inputs already have many splits and are
-    left untouched, so this never adds a shuffle at scale. (Not persisted: a cached scan would
-    stop AQE from reusing identical exchanges of the funding branch.)"""
+    left untouched, so this never adds a shuffle at scale.
+
+    The spread copy is a reliable checkpoint in the session's checkpoint folder: a bare
+    repartition is no barrier (Catalyst pushes the validation filter below it, back into the one
+    scan task), and a cached copy would stop AQE from reusing identical exchanges."""
+    from ledgerline.session import ensure_checkpoint_dir
+
     parallelism = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < parallelism:
-        return df.repartition(parallelism)
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.repartition(parallelism).checkpoint(eager=False)
     return df
 
 
