@@ -56,6 +56,15 @@ def write_dataset(df: DataFrame, root: str, name: str, fmt: str = "parquet") ->
     df.write.format(fmt).mode("append").partitionBy("batch_date", "run_id").save(table_path(root, name))
 
 
+def write_empty_run(df: DataFrame, root: str, name: str, run_id: str, batch_date: str, fmt: str = "parquet") -> None:
+    """A run that wrote no rows to ``name`` still gets its partition folder with one schema-only
+    file: a partitioned write of no rows creates no files, and a table holding only such runs
+    could not be read. ``limit(0)`` plans as an empty relation, so nothing is recomputed."""
+    folder = f"{table_path(root, name)}/batch_date={batch_date}/run_id={run_id}"
+    empty = with_lineage(df, run_id, batch_date).drop("batch_date", "run_id").limit(0)
+    empty.coalesce(1).write.format(fmt).mode("append").save(folder)
+
+
 def utc_now() -> str:
     return datetime.now(timezone.utc).isoformat()
 

@@ -188,3 +188,63 @@ def test_malformed_row_fails_the_run(spark, ledger_root):
         run(spark, ledger_root, day, policy=QualityPolicy(max_quarantine_ratio=0.1))
     audit = tables.read_audit(spark, ledger_root)
     assert tables.current_run(audit).first()["run_id"] == published["run_id"]
+
+
+def test_pair_rows_and_leftovers_of_a_failed_run(spark, tmp_path):
+    from ledgerline.contracts import DATASETS
+
+    root = str(tmp_path)
+    day = "2026-10-01"
+    funding = [funding_row(f"F{i}", day) for i in range(4)]
+    payouts = [payout_row(f"P{i}", f"F{i}", day) for i in range(4)]
+    payouts += [payout_row(f"C{i}", "F0", day, amount=a) for i, a in enumerate(["25.00", "-25.00", "25.00", "-25.00", "7.00"])]
+    write_day(root, day, funding, payouts)
+    policy = QualityPolicy(max_exception_ratio=1.0)
+
+    # Arrays in the reconciliation, or one row per pair in gold_contra_pairs: the same ids.
+    wide = run(spark, root, day, policy=policy)
+    lean = run(spark, root, day, policy=policy, pair_ids=False)
+    recon = tables.read_dataset(spark, root, "gold_reconciliation")
+    wide_f0 = recon.filter((F.col("run_id") == wide["run_id"]) & (F.col("record_id") == "F0")).first()
+    lean_f0 = recon.filter((F.col("run_id") == lean["run_id"]) & (F.col("record_id") == "F0")).first()
+    assert wide_f0.contra_pair_count == lean_f0.contra_pair_count == 2 and len(wide_f0.contra_pair_ids) == 2
+    assert lean_f0.contra_pair_ids is None and lean_f0.status == wide_f0.status == "AMOUNT_MISMATCH"
+    pairs = tables.read_dataset(spark, root, "gold_contra_pairs").filter(F.col("run_id") == lean["run_id"])
+    assert sorted(r.contra_pair_id for r in pairs.collect()) == wide_f0.contra_pair_ids
+    assert lean["output_counts"]["gold_contra_pairs"] == 2
+    assert wide["reconciliation"] == lean["reconciliation"]
+
+    # A failed gate leaves the run's written partitions without an audit row: orphans (A13),
+    # found by the anti-join and removed by dropping the run's partition folders (D9).
+    with pytest.raises(QualityFailure, match="min_funding_records"):
+        run(spark, root, day, policy=QualityPolicy(max_exception_ratio=1.0, min_funding_records=100))
+    failed = tables.read_alerts(spark, root).filter(F.col("category") == "QUALITY_GATE_FAILED")
+    assert failed.count() == 1
+    names = [*DATASETS, "gold_contra_pairs"]
+    audit = tables.read_audit(spark, root)
+    cutoff = "2999-01-01T00:00:00+00:00"
+
+    def leftovers():
+        present = {n: tables.read_dataset(spark, root, n) for n in names}
+        return {r["table"]: r["rows"] for r in ops.orphan_rows(present, audit, cutoff).collect()}
+
+    # Gates run on the written, unpublished stages, so every dataset of the failed run is left.
+    before = leftovers()
+    assert before == dict(
+        silver_funding=4,
+        silver_payouts=9,
+        gold_funding=4,
+        gold_reconciliation=4,
+        gold_vendor_summary=2,
+        gold_month_end=2,
+        exceptions=1,
+        quarantine=0,
+        gold_contra_pairs=0,
+    )
+    targets = ops.drop_runs(spark, root, failed, names)  # preview: nothing removed
+    assert len(targets) == len(names) and leftovers() == before
+    ops.drop_runs(spark, root, failed, names, apply=True)
+    assert set(leftovers().values()) == {0}
+    # The published runs are untouched.
+    assert tables.snapshot(spark, root, "gold_reconciliation").count() == 4
+    assert recon.filter(F.col("run_id") == wide["run_id"]).count() == 4
