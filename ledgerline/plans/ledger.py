@@ -46,6 +46,20 @@ def as_of(raw: DataFrame, as_of_date: str | None) -> DataFrame:
     return raw.filter(F.col("batch_date") <= F.lit(as_of_date))
 
 
+def drop_inventory(funding_raw: DataFrame, payouts_raw: DataFrame, as_of_date: str) -> DataFrame:
+    """The as-of selection of daily drops (S1): per drop date on or before ``as_of_date``, the rows
+    of each source and whether the day is complete (both sources present).
+
+    One union and one ``groupBy(batch_date)`` with map-side combine; the date filter is pushed
+    into both branches."""
+    funding = funding_raw.select("batch_date", F.lit(1).alias("f"), F.lit(0).alias("p"))
+    payouts = payouts_raw.select("batch_date", F.lit(0).alias("f"), F.lit(1).alias("p"))
+    days = as_of(funding.unionByName(payouts), as_of_date).groupBy("batch_date").agg(
+        F.sum("f").alias("funding_rows"), F.sum("p").alias("payout_rows")
+    )
+    return days.withColumn("complete", (F.col("funding_rows") > 0) & (F.col("payout_rows") > 0))
+
+
 @dataclass
 class Ledger:
     tagged: dict[str, DataFrame]

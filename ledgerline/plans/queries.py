@@ -293,6 +293,14 @@ def as_of_status_counts(spark, sf_dir):
     return dist(adapted_ledger(spark, sf_dir, as_of_date=AS_OF).reconciliation)
 
 
+def as_of_snapshot(spark, sf_dir):
+    from ledgerline.plans.ledger import drop_inventory
+
+    raw = raw_funding(spark, sf_dir)
+    _, _, gold = gold_from_raw(raw)
+    return drop_inventory(raw, payout_drops(gold), AS_OF)
+
+
 def replay_diff(spark, sf_dir):
     return ops.replay_diff(_recon(spark, sf_dir), _recon(spark, sf_dir))
 
@@ -326,6 +334,7 @@ QUERIES.update(
         "ledger_search_count": ledger_search_count,
         "record_drilldown": record_drilldown,
         "as_of_status_counts": as_of_status_counts,
+        "as_of_snapshot": as_of_snapshot,
         "replay_diff": replay_diff,
         "alerts": gate_alerts,
         "output_counts": output_counts,
