@@ -267,6 +267,12 @@ def orphan_rows(spark, sf_dir):
     return ops.orphan_rows(tables, derived_audit(spark, sf_dir), ORPHAN_CUTOFF)
 
 
+def manifest_report(spark, sf_dir):
+    audit = derived_audit(spark, sf_dir)
+    latest_date = audit.agg(F.max("batch_date").alias("d")).collect()[0]["d"]  # one value
+    return ops.manifest_report(audit, latest_date)
+
+
 def freshness(spark, sf_dir):
     return ops.freshness(derived_audit(spark, sf_dir), HEALTH_NOW)
 
@@ -330,6 +336,7 @@ QUERIES.update(
         "published_rows": published_rows,
         "orphan_rows": orphan_rows,
         "freshness": freshness,
+        "manifest_report": manifest_report,
         "ledger_page": ledger_page,
         "ledger_search_count": ledger_search_count,
         "record_drilldown": record_drilldown,
