@@ -88,6 +88,23 @@ def load_as_of(spark: SparkSession, root: str, as_of: str) -> tuple[DataFrame, D
     return funding, payouts, [r["folder"] for r in days]
 
 
+def check_headers(files) -> None:
+    """Exact, case-sensitive header check (S2) over fingerprint rows (key 'date/source', header).
+
+    Spark's own check (``enforceSchema=false``) ignores case unless ``spark.sql.caseSensitive``
+    is set; the contract requires the exact field list. ``files`` is one row per input file.
+    """
+    import csv
+
+    for row in files:
+        kind = row["key"].rsplit("/", 1)[-1]
+        if kind not in FIELDS:
+            continue
+        found = next(csv.reader([row["header"] or ""]), [])
+        if found != list(FIELDS[kind]):
+            raise ContractError(f"schema/header does not match the contract: {row['key']} has {found}")
+
+
 def contract_violation(error: Exception) -> bool:
     text = str(error)
     return any(s in text for s in ("CSV header", "MALFORMED", "Malformed", "does not conform", "FAILFAST"))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHUNK_BYTES = 8 * 1024 * 1024
+HEADER_BYTES = 64 * 1024  # the first line of a file, kept for the exact header check
 
 
 def arrow_uri(path):
@@ -21,8 +22,9 @@ def arrow_uri(path):
 
 
 def fingerprints(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(key 'YYYY-MM-DD/source', path, sha256, length) per input file."""
-    chunk = CHUNK_BYTES
+    """(key 'YYYY-MM-DD/source', path, sha256, length, header) per input file; ``header`` is the
+    file's first line (up to 64 KB), read while hashing."""
+    chunk, header_bytes = CHUNK_BYTES, HEADER_BYTES
 
     # Defined here so it is shipped by value: executors need no copy of this package.
     def sha256_files(batches):
@@ -31,22 +33,26 @@ def fingerprints(spark: SparkSession, paths: list[str]) -> DataFrame:
         from pyarrow import fs
 
         for batch in batches:
-            digests = []
+            digests, headers = [], []
             for uri in batch["uri"]:
                 filesystem, inner = fs.FileSystem.from_uri(uri)
                 digest = hashlib.sha256()
+                head = b""
                 with filesystem.open_input_stream(inner, compression=None) as stream:
                     while block := stream.read(chunk):
                         digest.update(block)
+                        if len(head) < header_bytes and b"\n" not in head:
+                            head += block[:header_bytes]
                 digests.append(digest.hexdigest())
-            yield batch.assign(sha256=digests)
+                headers.append(head.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8", "replace"))
+            yield batch.assign(sha256=digests, header=headers)
 
     listing = spark.read.format("binaryFile").load(paths).select("path", "length")
     spread = listing.repartition(spark.sparkContext.defaultParallelism).withColumn("uri", arrow_uri(F.col("path")))
-    hashed = spread.mapInPandas(sha256_files, "path string, length long, uri string, sha256 string")
+    hashed = spread.mapInPandas(sha256_files, "path string, length long, uri string, sha256 string, header string")
     parts = F.split(F.col("path"), "/")
     key = F.concat(F.element_at(parts, -2), F.lit("/"), F.regexp_replace(F.element_at(parts, -1), r"\.csv$", ""))
-    return hashed.select(key.alias("key"), "path", "sha256", "length")
+    return hashed.select(key.alias("key"), "path", "sha256", "length", "header")
 
 
 def source_changes(before: DataFrame, after: DataFrame) -> DataFrame:

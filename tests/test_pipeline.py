@@ -137,6 +137,22 @@ def test_wrong_header_fails_and_keeps_publication(spark, ledger_root):
     assert tables.current_run(audit).first()["run_id"] == published["run_id"]
 
 
+def test_header_differing_only_in_case_fails(spark, ledger_root):
+    day = "2026-10-01"
+    published = run(spark, ledger_root, day, policy=QualityPolicy(max_quarantine_ratio=0.1))
+    path = os.path.join(ledger_root, "raw", day, "payouts.csv")
+    with open(path) as handle:
+        lines = handle.read().split("\n", 1)
+    with open(path, "w") as handle:
+        handle.write(lines[0].upper() + "\n" + lines[1])
+    with pytest.raises(ValueError, match="schema/header"):
+        run(spark, ledger_root, day, policy=QualityPolicy(max_quarantine_ratio=0.1))
+    audit = tables.read_audit(spark, ledger_root)
+    assert tables.current_run(audit).first()["run_id"] == published["run_id"]
+    failures = tables.read_alerts(spark, ledger_root).filter(F.col("category") == "PIPELINE_FAILED")
+    assert failures.count() == 1
+
+
 def test_late_settlement_in_later_partition(spark, tmp_path):
     root = str(tmp_path)
     write_day(root, "2026-09-30", [funding_row("M", "2026-09-30")], [])
@@ -177,6 +193,7 @@ def test_fingerprint_matches_hashlib(spark, ledger_root):
         expected = hashlib.sha256(handle.read()).hexdigest()
     row = fingerprints(spark, [path]).first()
     assert row["sha256"] == expected and row["key"] == "2026-10-01/funding"
+    assert row["header"] == ",".join(FUNDING_FIELDS)
 
 
 def test_malformed_row_fails_the_run(spark, ledger_root):
