@@ -41,6 +41,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+SIZED_BY_LEDGER = "ledgerline.initialPartitionNum"
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int = SHUFFLE_PARTITION_BYTES) -> int:
+    """Start every shuffle with about one partition per ``partition_bytes`` of input (at least one
+    per core); AQE then coalesces small partitions and splits skewed ones at runtime. A value the
+    cluster configured is kept."""
+    configured = spark.conf.get(INITIAL_PARTITIONS, None)
+    if configured and configured != spark.conf.get(SIZED_BY_LEDGER, None):
+        return int(configured)
+    partitions = max(spark.sparkContext.defaultParallelism, -(-int(input_bytes) // partition_bytes))
+    spark.conf.set(INITIAL_PARTITIONS, str(partitions))
+    spark.conf.set(SIZED_BY_LEDGER, str(partitions))  # ours: the next run may resize it
+    return partitions
+
+
 def apply_ledger_conf(spark: SparkSession) -> None:
     """Apply the session-level settings the ledger needs to an existing session."""
     for key, value in LEDGER_CONF.items():
