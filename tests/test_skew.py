@@ -80,6 +80,12 @@ def test_hot_record_and_hot_reversal_target(spark):
     assert lean.contra_pair_count == 999 and lean.contra_pair_ids is None and lean.status == hot.status
     long_form = contra_pairs(payouts, cross_date=True).filter(F.col("record_id") == "H")
     assert sorted(r.contra_pair_id for r in long_form.collect()) == pair_ids
+    # The hot group's ranks cut into chunks of 100 and spread over tasks: the same pairs.
+    chunked = contra_pairs(payouts, cross_date=True, pairs_per_task=100).filter(F.col("record_id") == "H")
+    ranks = [r.pair_rank for r in chunked.collect()]
+    assert sorted(ranks) == list(range(1, 1000))
+    assert sorted(r.contra_pair_id for r in chunked.collect()) == pair_ids
+    assert chunked.rdd.glom().map(len).filter(lambda n: n > 0).count() > 1  # more than one task
 
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan and "partial_sum" in plan  # map-side combine before the shuffles
