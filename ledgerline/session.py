@@ -15,6 +15,9 @@ LEDGER_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # A top-k above this many rows (a deep reader page: up to 100,000 pages of 100) runs as a
+    # range-partitioned sort with a streaming limit, not as an in-memory priority queue per task.
+    "spark.sql.execution.topKSortFallbackThreshold": "100000",
 }
 
 
