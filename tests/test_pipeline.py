@@ -230,6 +230,18 @@ def test_pair_rows_and_leftovers_of_a_failed_run(spark, tmp_path):
     assert sorted(r.contra_pair_id for r in pairs.collect()) == wide_f0.contra_pair_ids
     assert lean["output_counts"]["gold_contra_pairs"] == 2
     assert wide["reconciliation"] == lean["reconciliation"]
+    assert "gold_contra_pairs" not in wide["output_counts"]  # no record above the default bound
+    # A bound of one id per record: F0 (two pairs) is published without its array, and its
+    # ids are written one row per pair; records within the bound keep their arrays.
+    bound = run(spark, root, day, policy=policy, pair_ids=1)
+    assert bound["output_counts"]["gold_contra_pairs"] == 2
+    recon = tables.read_dataset(spark, root, "gold_reconciliation")  # a fresh listing with the new run
+    bound_f0 = recon.filter((F.col("run_id") == bound["run_id"]) & (F.col("record_id") == "F0")).first()
+    assert bound_f0.contra_pair_ids is None and bound_f0.contra_pair_count == 2
+    bound_pairs = tables.read_dataset(spark, root, "gold_contra_pairs").filter(F.col("run_id") == bound["run_id"])
+    assert sorted(r.contra_pair_id for r in bound_pairs.collect()) == wide_f0.contra_pair_ids
+    f1 = recon.filter((F.col("run_id") == bound["run_id"]) & (F.col("record_id") == "F1")).first()
+    assert f1.contra_pair_ids == []
 
     # A failed gate leaves the run's written partitions without an audit row: orphans (A13),
     # found by the anti-join and removed by dropping the run's partition folders (D9).

@@ -78,6 +78,11 @@ def test_hot_record_and_hot_reversal_target(spark):
 
     lean = reconcile(expected, payouts, cross_date=True, pair_ids=False).filter(F.col("record_id") == "H").first()
     assert lean.contra_pair_count == 999 and lean.contra_pair_ids is None and lean.status == hot.status
+    # A bound below the hot record's 999 pairs: no array for it, the others keep theirs.
+    bounded = {r.record_id: r for r in reconcile(expected, payouts, cross_date=True, pair_ids=500).collect()}
+    assert bounded["H"].contra_pair_count == 999 and bounded["H"].contra_pair_ids is None
+    assert bounded["H"].status == hot.status and bounded["K0"].contra_pair_ids == []
+    assert reconcile(expected, payouts, cross_date=True, pair_ids=999).filter(F.col("record_id") == "H").first().contra_pair_ids == pair_ids
     long_form = contra_pairs(payouts, cross_date=True).filter(F.col("record_id") == "H")
     assert sorted(r.contra_pair_id for r in long_form.collect()) == pair_ids
     # The hot group's ranks cut into chunks of 100 and spread over tasks: the same pairs.
