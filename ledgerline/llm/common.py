@@ -29,17 +29,16 @@ def prepare(spark: SparkSession) -> None:
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
-    if not spark.sparkContext.master.startswith("local["):
-        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-        top = os.path.dirname(package)
-        archive = os.path.join(tempfile.mkdtemp(), "ledgerline_package.zip")
-        with zipfile.ZipFile(archive, "w") as out:
-            for folder, _, names in os.walk(package):
-                for name in names:
-                    if name.endswith(".py"):
-                        path = os.path.join(folder, name)
-                        out.write(path, os.path.relpath(path, top))
-        spark.sparkContext.addPyFile(archive)  # driver-local; Spark's file server hands it out
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    top = os.path.dirname(package)
+    archive = os.path.join(tempfile.mkdtemp(), "ledgerline_package.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, top))
+    spark.sparkContext.addPyFile(archive)  # read by the driver alone; Spark's file server hands it out
     _SHIPPED.add(app)
 
 
