@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from ledgerline.llm.langid import op3_langid
+from ledgerline.llm.sentencepiece_codec import op1_sentencepiece
 from ledgerline.llm.simhash import op6_simhash
 from ledgerline.llm.token_files import op9_token_files
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op3_langid": op3_langid,
     "op6_simhash": op6_simhash,
     "op9_token_files": op9_token_files,
