@@ -5,6 +5,7 @@ from __future__ import annotations
 from ledgerline.llm.langid import op3_langid
 from ledgerline.llm.sentencepiece_codec import op1_sentencepiece
 from ledgerline.llm.simhash import op6_simhash
+from ledgerline.llm.substring_dedup import op10_substring_dedup
 from ledgerline.llm.token_files import op9_token_files
 
 QUERIES = {
@@ -12,6 +13,7 @@ QUERIES = {
     "op3_langid": op3_langid,
     "op6_simhash": op6_simhash,
     "op9_token_files": op9_token_files,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
