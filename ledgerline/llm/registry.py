@@ -7,10 +7,12 @@ from ledgerline.llm.sentencepiece_codec import op1_sentencepiece
 from ledgerline.llm.simhash import op6_simhash
 from ledgerline.llm.substring_dedup import op10_substring_dedup
 from ledgerline.llm.token_files import op9_token_files
+from ledgerline.llm.warc import op5_warc
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op3_langid": op3_langid,
+    "op5_warc": op5_warc,
     "op6_simhash": op6_simhash,
     "op9_token_files": op9_token_files,
     "op10_substring_dedup": op10_substring_dedup,
