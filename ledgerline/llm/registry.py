@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ledgerline.llm.ann import op7_ann
 from ledgerline.llm.langid import op3_langid
 from ledgerline.llm.sentencepiece_codec import op1_sentencepiece
 from ledgerline.llm.simhash import op6_simhash
@@ -14,6 +15,7 @@ QUERIES = {
     "op3_langid": op3_langid,
     "op5_warc": op5_warc,
     "op6_simhash": op6_simhash,
+    "op7_ann": op7_ann,
     "op9_token_files": op9_token_files,
     "op10_substring_dedup": op10_substring_dedup,
 }
