@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ledgerline.llm.ann import op7_ann
+from ledgerline.llm.decontamination import op4_decontamination
 from ledgerline.llm.langid import op3_langid
 from ledgerline.llm.sentencepiece_codec import op1_sentencepiece
 from ledgerline.llm.simhash import op6_simhash
@@ -13,6 +14,7 @@ from ledgerline.llm.warc import op5_warc
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op3_langid": op3_langid,
+    "op4_decontamination": op4_decontamination,
     "op5_warc": op5_warc,
     "op6_simhash": op6_simhash,
     "op7_ann": op7_ann,
