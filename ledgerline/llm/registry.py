@@ -9,10 +9,12 @@ from ledgerline.llm.sentencepiece_codec import op1_sentencepiece
 from ledgerline.llm.simhash import op6_simhash
 from ledgerline.llm.substring_dedup import op10_substring_dedup
 from ledgerline.llm.token_files import op9_token_files
+from ledgerline.llm.toxicity import op2_toxicity
 from ledgerline.llm.warc import op5_warc
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_toxicity": op2_toxicity,
     "op3_langid": op3_langid,
     "op4_decontamination": op4_decontamination,
     "op5_warc": op5_warc,
