@@ -5,6 +5,7 @@ from __future__ import annotations
 from ledgerline.llm.ann import op7_ann
 from ledgerline.llm.decontamination import op4_decontamination
 from ledgerline.llm.langid import op3_langid
+from ledgerline.llm.maxent_lm import op8_lm_scoring
 from ledgerline.llm.sentencepiece_codec import op1_sentencepiece
 from ledgerline.llm.simhash import op6_simhash
 from ledgerline.llm.substring_dedup import op10_substring_dedup
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_warc": op5_warc,
     "op6_simhash": op6_simhash,
     "op7_ann": op7_ann,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_token_files": op9_token_files,
     "op10_substring_dedup": op10_substring_dedup,
 }
