@@ -58,16 +58,25 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder. ``sweep`` deletes what was handed out."""
+    """A new path in the shared folder."""
     path = f"{shared_root(spark)}/ledgerline/{name}-{uuid.uuid4().hex}"
     _SCRATCH.append(path)
     return path
 
 
-def sweep(spark: SparkSession) -> None:
-    """Delete the scratch tables of earlier steps. Call it only when their results are written."""
-    while _SCRATCH:
-        target = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+def scratch_mark() -> int:
+    """A mark for ``scratch_since``."""
+    return len(_SCRATCH)
+
+
+def scratch_since(mark: int) -> list[str]:
+    return _SCRATCH[mark:]
+
+
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch tables that nothing reads any more."""
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 

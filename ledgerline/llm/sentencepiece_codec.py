@@ -298,11 +298,12 @@ def encode(docs: DataFrame, model: str | None = None) -> DataFrame:
 
 
 def decode(coded: DataFrame, model: str | None = None) -> DataFrame:
-    """doc_id, text (as given), decoded, n_pieces, n_byte_pieces, ids_crc32 of ``encode``'s rows."""
+    """doc_id, text (as given), piece_ids, decoded, n_pieces, n_byte_pieces, ids_crc32 of
+    ``encode``'s rows."""
     common.prepare(coded.sparkSession)
     path = model or default_model()
     made = coded.sparkSession.sparkContext.broadcast(build(path))
-    names = ["doc_id", "text", "decoded", "n_pieces", "n_byte_pieces", "ids_crc32"]
+    names = ["doc_id", "text", "piece_ids", "decoded", "n_pieces", "n_byte_pieces", "ids_crc32"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path, made.value)
@@ -316,6 +317,7 @@ def decode(coded: DataFrame, model: str | None = None) -> DataFrame:
             columns = [
                 batch.column("doc_id"),
                 batch.column("text"),
+                column,
                 pa.array([coder.decode(x) for x in held], pa.string()),
                 pa.array([len(x) for x in held], pa.int64()),
                 pa.array([int(is_byte[x].sum()) for x in held], pa.int64()),
@@ -323,7 +325,7 @@ def decode(coded: DataFrame, model: str | None = None) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    types = "doc_id long, text string, decoded string, n_pieces long, n_byte_pieces long, ids_crc32 long"
+    types = "doc_id long, text string, piece_ids array<int>, decoded string, n_pieces long, n_byte_pieces long, ids_crc32 long"
     return coded.select("doc_id", "text", "piece_ids").mapInArrow(run, types)
 
 

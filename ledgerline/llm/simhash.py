@@ -65,16 +65,18 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (the fingerprint as a signed long) for every row of ``docs``."""
+    """doc_id, text_hash, fp (the fingerprint as a signed long) for every row of ``docs``."""
     common.prepare(docs.sparkSession)
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("fp", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t, shingle) for t in common.texts(batch)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found)], schema=schema)
+            columns = [batch.column("doc_id"), batch.column("text_hash"), pa.array(found)]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    needed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
+    return needed.mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -220,7 +222,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, group: int = GROUP) -> DataF
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """doc_id, fp (long), component_id (smallest doc_id reachable) for every row of ``docs``."""
+    """doc_id, text_hash, fp (long), component_id (smallest doc_id reachable) for every row of
+    ``docs``."""
     prints = common.materialize(fingerprints(docs, shingle), "fingerprints")
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
     roots = connected_components(links(nodes.select("fp"), max_bits)).withColumnRenamed("u", "fp")
@@ -228,7 +231,31 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     smallest = linked.join(roots.select("root").distinct(), "root", "left_semi")
     smallest = smallest.groupBy("root").agg(F.min("first").alias("least"))
     classes = linked.join(smallest, "root", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(classes, "fp").select("doc_id", "text_hash", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of ``docs`` without their near-duplicates: of each component the document of
+    smallest doc_id stays (of one id, the text of least hash; of rows without any id, likewise).
+    What goes is written first, so where it is small Spark moves no text."""
+    classes = common.materialize(near_duplicates(docs, shingle, max_bits), "classes")
+    place = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("d"), F.col("text_hash").alias("h"))
+    lone = F.when(F.col("component_id").isNull(), F.col("fp"))  # components of rows without any id
+    rows = classes.select("doc_id", "text_hash", "component_id", lone.alias("lone"), place.alias("place"))
+    first = rows.groupBy("component_id", "lone").agg(F.min("place").alias("first"))
+    same = rows["component_id"].eqNullSafe(first["component_id"]) & rows["lone"].eqNullSafe(first["lone"])
+    gone = rows.join(first, same).filter("place <> first").select("doc_id", "text_hash").distinct()
+    gone = common.materialize(gone, "near-duplicates")
+    again = classes.groupBy("doc_id", "text_hash").count().filter("count > 1").select("doc_id", "text_hash")
+    again = common.materialize(again, "repeated-rows")
+
+    def keyed(keys: DataFrame, how: str, rows: DataFrame) -> DataFrame:
+        hit = rows["doc_id"].cast("long").eqNullSafe(keys["doc_id"]) & (F.xxhash64(rows["text"]) == keys["text_hash"])
+        return rows.join(keys, hit, how)
+
+    kept = keyed(gone, "left_anti", docs)
+    twice = keyed(again, "left_semi", kept).dropDuplicates(["doc_id", "text"])
+    return keyed(again, "left_anti", kept).unionByName(twice)
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

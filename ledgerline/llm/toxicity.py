@@ -337,35 +337,37 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, landmarks:
     return Model(marks, train(np.stack(got["x"].to_numpy()), got["toxic"].to_numpy() > 0), t / n)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, score for every row of ``docs`` (doc_id, text)."""
+def score(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
+    """The columns ``carry`` of ``docs`` as struct ``row``, and the score of its text."""
     common.prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
 
-        def rows(ids: list, texts: list[str]) -> pa.RecordBatch:
+        def rows(held: list[pa.Array], texts: list[str]) -> pa.RecordBatch:
             found = np.full(len(texts), model.share)
             if model.machine:
                 found = model.machine.scores(model.landmarks.features(texts))
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found)], names=["doc_id", "score"])
+            return pa.RecordBatch.from_arrays([pa.concat_arrays(held), pa.array(found)], names=["row", "score"])
 
-        ids: list[int | None] = []
+        held: list[pa.Array] = []
         texts: list[str] = []
         size = 0
         for batch in batches:
-            for doc, text in zip(batch.column("doc_id").to_pylist(), common.texts(batch), strict=True):
-                ids.append(doc)
-                texts.append(text)
-                size += text.count(" ") + 1
-                if size >= CHUNK_WORDS:
-                    yield rows(ids, texts)
-                    ids, texts, size = [], [], 0
-        if ids:
-            yield rows(ids, texts)
+            some = common.texts(batch, "body")
+            held.append(batch.column("row"))
+            texts += some
+            size += sum(t.count(" ") + 1 for t in some)
+            if size >= CHUNK_WORDS:
+                yield rows(held, texts)
+                held, texts, size = [], [], 0
+        if held:
+            yield rows(held, texts)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double")
+    needed = docs.select(F.struct(*(docs[c] for c in carry)).alias("row"), F.col("text").alias("body"))
+    kind = needed.schema["row"].dataType.simpleString()
+    return needed.mapInArrow(run, f"row {kind}, score double")
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -373,7 +375,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels")
     train_rows = common.in_training("doc_id", FOLDS)
     model = fit(docs, labels.filter(train_rows).select("doc_id", "toxic"))
-    found = score(docs, model)
+    found = score(docs, model, ["doc_id"]).select("row.doc_id", "score")
     return found.select(
         "doc_id", (~train_rows).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
