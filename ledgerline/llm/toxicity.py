@@ -44,7 +44,7 @@ FIT_ROWS = 16_000
 #: Units from which landmarks are taken, and the kernel value above which two are alike.
 CANDIDATES = 600
 ALIKE = 0.5
-COST = 1.0
+COST = 0.02
 CHUNK_WORDS = 1_000_000
 #: Units whose kernel values a worker keeps; beyond it, it starts anew.
 CACHE_UNITS = 400_000
