@@ -222,16 +222,17 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, group: int = GROUP) -> DataF
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """doc_id, text_hash, fp (long), component_id (smallest doc_id reachable) for every row of
-    ``docs``."""
+    """doc_id, text_hash, fp (long), root (the component's smallest fp) and component_id (its
+    smallest doc_id) for every row of ``docs``."""
     prints = common.materialize(fingerprints(docs, shingle), "fingerprints")
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
     roots = connected_components(links(nodes.select("fp"), max_bits)).withColumnRenamed("u", "fp")
     linked = nodes.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     smallest = linked.join(roots.select("root").distinct(), "root", "left_semi")
     smallest = smallest.groupBy("root").agg(F.min("first").alias("least"))
-    classes = linked.join(smallest, "root", "left").select("fp", F.coalesce("least", "first").alias("component_id"))
-    return prints.join(classes, "fp").select("doc_id", "text_hash", "fp", "component_id")
+    least = F.coalesce("least", "first").alias("component_id")
+    classes = linked.join(smallest, "root", "left").select("fp", "root", least)
+    return prints.join(classes, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
@@ -240,11 +241,9 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     What goes is written first, so where it is small Spark moves no text."""
     classes = common.materialize(near_duplicates(docs, shingle, max_bits), "classes")
     place = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("d"), F.col("text_hash").alias("h"))
-    lone = F.when(F.col("component_id").isNull(), F.col("fp"))  # components of rows without any id
-    rows = classes.select("doc_id", "text_hash", "component_id", lone.alias("lone"), place.alias("place"))
-    first = rows.groupBy("component_id", "lone").agg(F.min("place").alias("first"))
-    same = rows["component_id"].eqNullSafe(first["component_id"]) & rows["lone"].eqNullSafe(first["lone"])
-    gone = rows.join(first, same).filter("place <> first").select("doc_id", "text_hash").distinct()
+    rows = classes.select("doc_id", "text_hash", "root", place.alias("place"))
+    first = rows.groupBy("root").agg(F.min("place").alias("first"))
+    gone = rows.join(first, "root").filter("place <> first").select("doc_id", "text_hash").distinct()
     gone = common.materialize(gone, "near-duplicates")
     again = classes.groupBy("doc_id", "text_hash").count().filter("count > 1").select("doc_id", "text_hash")
     again = common.materialize(again, "repeated-rows")
