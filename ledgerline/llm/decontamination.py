@@ -218,13 +218,15 @@ class Index:
         ends = np.cumsum(sizes)
         pairs = [rep.candidates(line, self.lengths) for rep in self.repetitions]
         item, place = (np.concatenate(x) for x in zip(*pairs, strict=True))
+        if not len(item):
+            return []
         # Places of one alignment differ by a few edits: one stretch holds all that round to a place.
         grain = self.allowed[item] + 1
         cell = np.floor_divide(place, grain)
         both = np.unique(np.stack([item, cell], axis=1), axis=0)
         item, place = both[:, 0], both[:, 1] * (self.allowed[both[:, 0]] + 1)
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        cuts = np.flatnonzero(np.concatenate([[True], item[1:] != item[:-1]])) if len(item) else []
+        cuts = np.flatnonzero(np.concatenate([[True], item[1:] != item[:-1]]))
         for a, b in zip(cuts, [*cuts[1:], len(item)], strict=True):
             for c in range(a, b, 4096):
                 self._verify(int(item[a]), place[c : min(b, c + 4096)], line, ends, sizes, best)
