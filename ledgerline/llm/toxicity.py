@@ -45,6 +45,8 @@ FIT_ROWS = 16_000
 CANDIDATES = 600
 ALIKE = 0.5
 COST = 0.02
+#: A unit of more letters is read as overlapping stretches of so many.
+LONG = 48
 CHUNK_WORDS = 1_000_000
 #: Units whose kernel values a worker keeps; beyond it, it starts anew.
 CACHE_UNITS = 400_000
@@ -69,6 +71,7 @@ class Units:
         self.words: dict[str, int] = {}
         self.names: dict[str, int] = {"": -1}
         self.singles: set[int] = set()
+        self.long: dict[str, list[int]] = {}  # words whose unit is longer than LONG, in stretches
 
     def place(self, name: str) -> int:
         if name not in self.names:
@@ -78,6 +81,9 @@ class Units:
             self.held.append(name)
         return self.names[name]
 
+    def stretches(self, name: str) -> list[int]:
+        return [self.place(name[i : i + LONG]) for i in range(0, max(1, len(name) - LONG // 2), LONG // 2)]
+
     def read(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """For each occurrence of a unit its number and its text, in order of texts."""
         at: list[int] = []
@@ -85,7 +91,11 @@ class Units:
         for text in texts:
             words = text.split()
             for w in set(words).difference(self.words):
-                self.words[w] = self.place(unit(w))
+                name = unit(w)
+                if len(name) > LONG:
+                    self.long[w] = self.stretches(name)
+                    name = ""
+                self.words[w] = self.place(name)
             found = list(map(self.words.__getitem__, words))
             if not self.singles.isdisjoint(found):  # join single letters that stand side by side
                 joined, run = [], ""
@@ -94,9 +104,11 @@ class Units:
                         run += self.held[x]
                         continue
                     if len(run) >= ORDER:
-                        joined.append(self.place(run))
+                        joined += self.stretches(run)
                     run = ""
                 found += joined
+            if self.long:
+                found += [x for w in words if w in self.long for x in self.long[w]]
             at += found
             sizes.append(len(found))
         places, home = np.array(at, np.int64), np.repeat(np.arange(len(texts)), sizes)
