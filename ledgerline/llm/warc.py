@@ -146,7 +146,9 @@ def with_types(pages: DataFrame, min_bytes: int) -> DataFrame:
     # many pages share is split by Spark's skew join: the other side is one row.
     groups = rows.select("sha", "n_bytes", place.alias("at")).filter(F.col("n_bytes") >= min_bytes)
     groups = groups.groupBy("sha").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    joined = rows.join(groups.select("sha", "first"), "sha", "left")
+    # Written first: where few digests are shared, Spark sees a small table and moves no page.
+    groups = common.materialize(groups.select("sha", "first"), "shared-payloads")
+    joined = rows.join(groups, "sha", "left")
     later = F.col("first").isNotNull() & (F.col("n_bytes") >= min_bytes) & (place != F.col("first"))
     target = F.when(F.col("first.p") == last, F.lit("")).otherwise(F.col("first.p").cast("string"))
     return joined.select("page_id", "url", "body", "sha", "n_bytes", F.when(later, target).alias("refers_to"))
@@ -322,7 +324,7 @@ def read_captures(spark: SparkSession, archives: str, index: str) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
     kinds = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string"
-    return files.join(spans, "file").select("content", "spans").mapInArrow(cut, kinds)
+    return files.join(spans.hint("shuffle_hash"), "file").select("content", "spans").mapInArrow(cut, kinds)
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
