@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm import common
@@ -66,13 +66,17 @@ def fit(docs: DataFrame, fit_docs: int = FIT_DOCS) -> list[tuple[str, int, bytes
     """(language, training rows, dictionary) of ``docs`` (text, lang). The number of languages is
     that of the label set; each brings at most ``fit_docs`` texts to the driver."""
     rows = docs.filter("text is not null and lang is not null and length(text) >= 40")
+    rows = rows.select("lang", "text", F.xxhash64("text").alias("h"))
     totals = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    models = []
-    for lang in sorted(totals):
-        picked = rows.filter(F.col("lang") == lang).select("text", F.xxhash64("text").alias("h"))
-        texts = [r["text"] for r in picked.orderBy("h", "text").limit(fit_docs).collect()]
-        models.append((lang, totals[lang], dictionary(texts)))
-    return models
+    # Hashes first: each task keeps its least ones of a language, and only the chosen texts travel.
+    least = Window.partitionBy("lang").orderBy("h")
+    chosen = rows.select("lang", "h").distinct().withColumn("place", F.row_number().over(least))
+    chosen = chosen.filter(F.col("place") <= fit_docs).drop("place")
+    picked = rows.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    texts: dict[str, list[str]] = {lang: [] for lang in totals}
+    for r in picked.orderBy("lang", "h").collect():
+        texts[r["lang"]].append(r["text"])
+    return [(lang, totals[lang], dictionary(texts[lang])) for lang in sorted(totals)]
 
 
 class Classifier:
