@@ -77,6 +77,7 @@ DATASETS = (
     "silver_payouts",
     "gold_funding",
     "gold_reconciliation",
+    "gold_contra_pairs",
     "gold_vendor_summary",
     "gold_month_end",
     "exceptions",
@@ -89,8 +90,6 @@ MAX_SEARCH = 200
 MAX_ID = 200
 SEARCH_COLUMNS = ("record_id", "payout_id", "vendor_id", "quality_errors", "raw_record")
 PAGE_ORDER = ("accounting_month", "record_id", "payout_id", "vendor_id", "status")
-VENDOR_LIST_LIMIT = 1000
-DRILLDOWN_LIMITS = {"funding": 1, "reconciliation": 10, "payouts": 100}
 # Quality policy defaults.
 MAX_QUARANTINE_RATIO = 0.05
 MAX_EXCEPTION_RATIO = 0.50

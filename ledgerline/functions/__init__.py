@@ -1,21 +1 @@
-"""Column-expression helpers shared by the operators (all JVM-side built-ins, no UDFs)."""
-
-from ledgerline.functions.casts import (
-    blank,
-    decimal_or_null,
-    int_quantity,
-    money,
-    rate,
-    timestamp_or_null,
-)
-from ledgerline.functions.money import round_money
-
-__all__ = [
-    "blank",
-    "decimal_or_null",
-    "int_quantity",
-    "money",
-    "rate",
-    "round_money",
-    "timestamp_or_null",
-]
+"""Column-expression helpers (built-in functions only)."""

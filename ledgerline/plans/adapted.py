@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.measures import funding_measures
+from ledgerline.operators.reconcile import reconcile
 from ledgerline.operators.validation import tag
-from ledgerline.plans.ledger import Ledger, _keep, as_of, silver
+from ledgerline.plans.ledger import Ledger, as_of, silver
 from ledgerline.sources.adapter import funding_drops, payout_drops
 
 LINEITEM_COLUMNS = (
@@ -34,25 +35,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def balanced(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer splits than the session has cores (e.g. one file with a
-    single row group) round-robin over the cores. Large inputs already have many splits and are
-    left untouched, so this never adds a shuffle at scale.
-
-    The spread copy is a reliable checkpoint in the session's checkpoint folder: a bare
-    repartition is no barrier (Catalyst pushes the validation filter below it, back into the one
-    scan task), and a cached copy would stop AQE from reusing identical exchanges."""
-    from ledgerline.session import ensure_checkpoint_dir
-
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
-        ensure_checkpoint_dir(df.sparkSession)
-        return df.repartition(parallelism).checkpoint(eager=False)
-    return df
-
-
 def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return balanced(read_table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS))
+    return read_table(spark, sf_dir, "lineitem").select(*LINEITEM_COLUMNS)
 
 
 def raw_funding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,47 +49,15 @@ def gold_from_raw(funding_raw: DataFrame) -> tuple[DataFrame, DataFrame, DataFra
     return tagged, silver_funding, funding_measures(silver_funding)
 
 
-def raw_payouts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, _, gold = gold_from_raw(raw_funding(spark, sf_dir))
-    return payout_drops(gold)
-
-
-def adapted_ledger(
-    spark: SparkSession,
-    sf_dir: str,
-    as_of_date: str | None = None,
-    cross_date: bool = True,
-    persist: bool = False,
-) -> Ledger:
-    """The full ledger over ``lineitem``-derived drops (as of ``as_of_date`` if given).
-
-    With ``persist`` the frames reused by several outputs (tagged raw rows, silver, gold,
-    reconciliation) are kept MEMORY_AND_DISK, as a publishing job that writes eight datasets
-    wants: the input is parsed and validated once for metrics, silver and quarantine.
-    """
-    from ledgerline.operators.reconcile import reconcile
-
-    kept: list[DataFrame] = []
-    funding_raw = as_of(raw_funding(spark, sf_dir), as_of_date)
-    tagged_f = _keep(tag(funding_raw, "funding"), persist, kept)
-    silver_f = _keep(silver(tagged_f, "funding"), persist, kept)
-    gold = _keep(funding_measures(silver_f), persist, kept)
-    payouts_raw = as_of(payout_drops(gold), as_of_date)
-    tagged_p = _keep(tag(payouts_raw, "payouts"), persist, kept)
-    silver_p = _keep(silver(tagged_p, "payouts"), persist, kept)
-    result = _keep(reconcile(gold, silver_p, cross_date=cross_date), persist, kept)
+def adapted_ledger(spark: SparkSession, sf_dir: str, as_of_date: str | None = None, cross_date: bool = True) -> Ledger:
+    """The full ledger over ``lineitem``-derived drops (as of ``as_of_date`` if given)."""
+    tagged_f, silver_f, gold = gold_from_raw(as_of(raw_funding(spark, sf_dir), as_of_date))
+    tagged_p = tag(as_of(payout_drops(gold), as_of_date), "payouts")
+    silver_p = silver(tagged_p, "payouts")
     return Ledger(
         {"funding": tagged_f, "payouts": tagged_p},
         {"funding": silver_f, "payouts": silver_p},
         gold,
-        result,
+        reconcile(gold, silver_p, cross_date=cross_date),
         cross_date,
-        kept,
     )
-
-
-def partition_dates(raw: DataFrame) -> DataFrame:
-    return raw.select("batch_date").distinct()
-
-
-__all__ = ["adapted_ledger", "raw_funding", "raw_payouts", "gold_from_raw", "lineitem", "read_table", "partition_dates"]

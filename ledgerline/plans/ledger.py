@@ -1,26 +1,21 @@
 """The as-of ledger (D7): raw drops -> silver -> gold -> reconciliation -> summaries.
 
-``assemble`` takes the raw funding and payout rows of *all* selected daily drops at once (one
-scan, partition date as a column) and returns lazy DataFrames for the eight datasets plus quality
-metrics. Frames reused by several outputs can be persisted (MEMORY_AND_DISK); a lost executor
-just recomputes its blocks from lineage. For long jobs, ``cut_lineage`` writes a reliable
-checkpoint into the cluster's shared ``spark.checkpoint.dir``.
+``Ledger`` holds the lazy frames of one as-of ledger; the publishing job (``plans.staged``) writes
+them stage by stage.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.contracts import FIELDS, KEY
-from ledgerline.operators.measures import funding_measures
 from ledgerline.operators.quality import quality_metrics
-from ledgerline.operators.reconcile import exceptions, reconcile
+from ledgerline.operators.reconcile import exceptions
 from ledgerline.operators.summaries import month_end_summary, vendor_summary
-from ledgerline.operators.validation import ERRORS, quarantine, tag
+from ledgerline.operators.validation import ERRORS, quarantine
 from ledgerline.operators.versions import latest
 
 
@@ -67,7 +62,6 @@ class Ledger:
     gold_funding: DataFrame
     reconciliation: DataFrame
     cross_date: bool = True
-    persisted: list[DataFrame] = field(default_factory=list)
 
     def datasets(self) -> dict[str, DataFrame]:
         return {
@@ -85,39 +79,3 @@ class Ledger:
 
     def metrics(self) -> DataFrame:
         return quality_metrics(self.tagged, self.silver)
-
-    def release(self) -> None:
-        for df in self.persisted:
-            df.unpersist()
-        self.persisted.clear()
-
-
-def _keep(df: DataFrame, persist: bool, kept: list[DataFrame]) -> DataFrame:
-    if persist:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        kept.append(df)
-    return df
-
-
-def assemble(
-    funding_raw: DataFrame,
-    payouts_raw: DataFrame,
-    as_of_date: str | None = None,
-    cross_date: bool = True,
-    persist: bool = False,
-) -> Ledger:
-    """Build the ledger from raw rows (contract text columns + batch_date + source_file)."""
-    kept: list[DataFrame] = []
-    tagged = {
-        "funding": _keep(tag(as_of(funding_raw, as_of_date), "funding"), persist, kept),
-        "payouts": _keep(tag(as_of(payouts_raw, as_of_date), "payouts"), persist, kept),
-    }
-    silvers = {kind: _keep(silver(tagged[kind], kind), persist, kept) for kind in tagged}
-    gold = _keep(funding_measures(silvers["funding"]), persist, kept)
-    result = _keep(reconcile(gold, silvers["payouts"], cross_date=cross_date), persist, kept)
-    return Ledger(tagged, silvers, gold, result, cross_date, kept)
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared ``spark.checkpoint.dir`` (never a local checkpoint)."""
-    return df.checkpoint(eager=True)

@@ -1,7 +1,6 @@
 """Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per operator.
 
 Every query reads the driver tables (through the lineitem adapter) over their whole extent.
-Array columns are returned as sorted comma-joined text so that the oracle can compare them.
 """
 
 from __future__ import annotations
@@ -25,10 +24,6 @@ from ledgerline.operators.validation import tag
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _ids_text(df: DataFrame) -> DataFrame:
-    return df.withColumn("contra_pair_ids", F.array_join("contra_pair_ids", ","))
-
-
 def _tagged_funding(spark, sf_dir):
     tagged, _, _ = gold_from_raw(raw_funding(spark, sf_dir))
     return tagged
@@ -62,8 +57,9 @@ def payouts_quarantine(spark, sf_dir):
 
 
 def quarantine_reason_counts(spark, sf_dir):
-    f = reason_counts(_tagged_funding(spark, sf_dir)).select(F.lit("funding").alias("source_type"), "*")
-    p = reason_counts(_tagged_payouts(spark, sf_dir)).select(F.lit("payouts").alias("source_type"), "*")
+    tagged, _, gold = gold_from_raw(raw_funding(spark, sf_dir))  # one funding branch feeds both
+    f = reason_counts(tagged).select(F.lit("funding").alias("source_type"), "*")
+    p = reason_counts(tag(payout_drops(gold), "payouts")).select(F.lit("payouts").alias("source_type"), "*")
     return f.unionByName(p)
 
 
@@ -99,7 +95,7 @@ def contra_pairs(spark, sf_dir):
 
 
 def settlement_rollup(spark, sf_dir):
-    return _ids_text(rec.settlement_rollup(_silver_payouts(spark, sf_dir), cross_date=True))
+    return rec.settlement_rollup(_silver_payouts(spark, sf_dir), cross_date=True)
 
 
 def _recon(spark, sf_dir, cross_date=True):
@@ -107,15 +103,15 @@ def _recon(spark, sf_dir, cross_date=True):
 
 
 def reconcile_cross_date(spark, sf_dir):
-    return _ids_text(_recon(spark, sf_dir, True))
+    return _recon(spark, sf_dir, True)
 
 
 def reconcile_same_date(spark, sf_dir):
-    return _ids_text(_recon(spark, sf_dir, False))
+    return _recon(spark, sf_dir, False)
 
 
 def exceptions(spark, sf_dir):
-    return _ids_text(rec.exceptions(_recon(spark, sf_dir)))
+    return rec.exceptions(_recon(spark, sf_dir))
 
 
 def status_distribution(spark, sf_dir):
@@ -202,6 +198,7 @@ HEALTH_NOW = "2001-11-05T12:00:00+00:00"
 AS_OF = "1998-06-30"
 PAGE = dict(status="MATCHED", page=3, size=25)
 SEARCH = "V000012"
+AFTER = ("F4504-5", "V000088", "MATCHED")  # an order key: record_id, vendor_id, status
 
 
 def _run_id(date_col, suffix: str):
@@ -257,20 +254,27 @@ def published_rows(spark, sf_dir):
     return published(rows, derived_audit(spark, sf_dir)).select("record_id", "vendor_id", "event_date", "net_payable", "run_id")
 
 
-def orphan_rows(spark, sf_dir):
-    _, silver_funding, gold = gold_from_raw(raw_funding(spark, sf_dir))
-    payouts = _silver_payouts(spark, sf_dir)
-    tables = {
+def _stamped_tables(spark, sf_dir):
+    _, _, gold = gold_from_raw(raw_funding(spark, sf_dir))
+    payouts = silver(tag(payout_drops(gold), "payouts"), "payouts")
+    return {
         "gold_funding": _stamped(gold.select("record_id", "event_date")),
         "silver_payouts": _stamped(payouts.select("payout_id", "event_date")),
     }
-    return ops.orphan_rows(tables, derived_audit(spark, sf_dir), ORPHAN_CUTOFF)
+
+
+def orphan_rows(spark, sf_dir):
+    return ops.orphan_rows(_stamped_tables(spark, sf_dir), derived_audit(spark, sf_dir), ORPHAN_CUTOFF)
+
+
+def orphan_runs(spark, sf_dir):
+    return ops.orphan_runs(_stamped_tables(spark, sf_dir), derived_audit(spark, sf_dir), ORPHAN_CUTOFF)
 
 
 def manifest_report(spark, sf_dir):
     audit = derived_audit(spark, sf_dir)
-    latest_date = audit.agg(F.max("batch_date").alias("d")).collect()[0]["d"]  # one value
-    return ops.manifest_report(audit, latest_date)
+    latest = audit.agg(F.max("batch_date").alias("batch_date"))
+    return current_run(audit).join(latest, "batch_date", "left_semi").select(*audit.columns)
 
 
 def freshness(spark, sf_dir):
@@ -278,19 +282,33 @@ def freshness(spark, sf_dir):
 
 
 def ledger_page(spark, sf_dir):
-    return _ids_text(reader.ledger_page(_recon(spark, sf_dir), **PAGE))
+    return reader.ledger_page(_recon(spark, sf_dir), **PAGE)
 
 
 def ledger_search_count(spark, sf_dir):
     return reader.ledger_count(_recon(spark, sf_dir), search=SEARCH)
 
 
+def ledger_page_after(spark, sf_dir):
+    return reader.page_after(_recon(spark, sf_dir), AFTER, status="MATCHED", size=25)
+
+
+def quarantine_search(spark, sf_dir):
+    led = adapted_ledger(spark, sf_dir)
+    rows = led.datasets()["quarantine"]
+    return rows.filter(reader.request_filter(rows, search="currency"))
+
+
+def exceptions_of_vendor(spark, sf_dir):
+    rows = rec.exceptions(_recon(spark, sf_dir))
+    return rows.filter(reader.request_filter(rows, vendor_id=SEARCH))
+
+
 def record_drilldown(spark, sf_dir):
-    recon = _recon(spark, sf_dir)
-    first = recon.filter(F.col("status") == "INVALID_REVERSAL").agg(F.min("record_id").alias("r")).collect()[0]["r"]
-    _, _, gold = gold_from_raw(raw_funding(spark, sf_dir))
-    parts = reader.record_drilldown(gold, recon, _silver_payouts(spark, sf_dir), first)
-    return parts["payouts"]
+    led = adapted_ledger(spark, sf_dir)
+    bad = led.reconciliation.filter(F.col("status") == "INVALID_REVERSAL")
+    first = bad.agg(F.min("record_id").alias("record_id"))
+    return reader.record_drilldown(led.gold_funding, led.reconciliation, led.silver["payouts"], first)
 
 
 def as_of_status_counts(spark, sf_dir):
@@ -308,7 +326,17 @@ def as_of_snapshot(spark, sf_dir):
 
 
 def replay_diff(spark, sf_dir):
-    return ops.replay_diff(_recon(spark, sf_dir), _recon(spark, sf_dir))
+    """Two ledgers of different as-of dates: every status differs."""
+    earlier = adapted_ledger(spark, sf_dir, as_of_date=AS_OF).reconciliation
+    return ops.replay_diff(earlier, _recon(spark, sf_dir))
+
+
+def replay_same(spark, sf_dir):
+    """A replay of the same inputs in another row order: nothing differs."""
+    raw = raw_funding(spark, sf_dir).repartition(7)
+    _, _, gold = gold_from_raw(raw)
+    again = rec.reconcile(gold, silver(tag(payout_drops(gold), "payouts"), "payouts"), cross_date=True)
+    return ops.replay_diff(_recon(spark, sf_dir), again)
 
 
 def gate_alerts(spark, sf_dir):
@@ -349,26 +377,36 @@ QUERIES.update(
 )
 
 
-def _table_files(spark, sf_dir):
-    """The driver tables' parquet files (file paths from a distributed listing, not from Python)."""
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(sf_dir).select("path")
-    return [r["path"] for r in listing.collect()]  # one row per table file
+def _row_fingerprints(drops):
+    """Per drop date: rows, and the sum of 32 bits of each row's digest (in any order)."""
+    text = F.concat_ws("|", *(F.coalesce(F.col(c), F.lit("~")) for c in FUNDING_FIELDS))
+    bits = F.conv(F.substring(F.sha2(text, 256), 1, 8), 16, 10).cast("bigint")
+    return drops.groupBy("batch_date").agg(F.count(F.lit(1)).alias("rows"), F.sum(bits).alias("digest"))
 
 
 def source_fingerprint(spark, sf_dir):
-    from ledgerline.sources.fingerprints import fingerprints
-
-    return fingerprints(spark, _table_files(spark, sf_dir)).select(
-        F.regexp_extract("path", r"([^/]+)\.parquet$", 1).alias("table"), "sha256", "length"
-    )
+    return _row_fingerprints(raw_funding(spark, sf_dir))
 
 
 def source_changes(spark, sf_dir):
-    """Replay check of the inputs: fingerprints taken twice must not differ (empty result)."""
-    from ledgerline.sources.fingerprints import fingerprints, source_changes as changes
-
-    files = _table_files(spark, sf_dir)
-    return changes(fingerprints(spark, files), fingerprints(spark, files))
+    """Drop dates whose rows differ after a rule has changed some drops: a corrected quantity on
+    the 7th of a month, all rows of the 21st gone."""
+    raw = raw_funding(spark, sf_dir)
+    day = F.substring("batch_date", 9, 2)
+    changed = raw.filter(day != "21").withColumn("quantity", F.when(day == "07", F.lit("1")).otherwise(F.col("quantity")))
+    a = _row_fingerprints(raw).select("batch_date", F.col("rows").alias("rows_before"), F.col("digest").alias("before"))
+    b = _row_fingerprints(changed).select("batch_date", F.col("rows").alias("rows_after"), F.col("digest").alias("after"))
+    return a.join(b, "batch_date", "full").filter(~F.col("before").eqNullSafe(F.col("after")))
 
 
-QUERIES.update({"source_fingerprint": source_fingerprint, "source_changes": source_changes})
+QUERIES.update(
+    {
+        "source_fingerprint": source_fingerprint,
+        "source_changes": source_changes,
+        "orphan_runs": orphan_runs,
+        "ledger_page_after": ledger_page_after,
+        "quarantine_search": quarantine_search,
+        "exceptions_of_vendor": exceptions_of_vendor,
+        "replay_same": replay_same,
+    }
+)

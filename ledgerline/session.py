@@ -40,54 +40,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
-INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-SIZED_BY_LEDGER = "ledgerline.initialPartitionNum"
-
-
-def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int = SHUFFLE_PARTITION_BYTES) -> int:
-    """Start every shuffle with about one partition per ``partition_bytes`` of input (at least one
-    per core); AQE then coalesces small partitions and splits skewed ones at runtime. A value the
-    cluster configured is kept."""
-    configured = spark.conf.get(INITIAL_PARTITIONS, None)
-    if configured and configured != spark.conf.get(SIZED_BY_LEDGER, None):
-        return int(configured)
-    partitions = max(spark.sparkContext.defaultParallelism, -(-int(input_bytes) // partition_bytes))
-    spark.conf.set(INITIAL_PARTITIONS, str(partitions))
-    spark.conf.set(SIZED_BY_LEDGER, str(partitions))  # ours: the next run may resize it
-    return partitions
-
-
 def apply_ledger_conf(spark: SparkSession) -> None:
     """Apply the session-level settings the ledger needs to an existing session."""
     for key, value in LEDGER_CONF.items():
         spark.conf.set(key, value)
-
-
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared folder named by the cluster in ``spark.checkpoint.dir`` (None if unset)."""
-    value = spark.conf.get("spark.checkpoint.dir", None)
-    if value:
-        return value
-    try:
-        return spark.sparkContext.getCheckpointDir()
-    except Exception:  # pragma: no cover - older API surfaces
-        return None
-
-
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Use the cluster's checkpoint folder; only when it is unset (tests, bench) set our own."""
-    current = checkpoint_dir(spark)
-    if current:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
-        return current
-    import tempfile
-
-    folder = fallback or tempfile.mkdtemp(prefix="ledger-ckpt-", dir=os.environ.get("LEDGER_SCRATCH", "/tmp"))
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHUNK_BYTES = 8 * 1024 * 1024
-HEADER_BYTES = 64 * 1024  # the first line of a file, kept for the exact header check
 
 
 def arrow_uri(path):
@@ -23,8 +22,8 @@ def arrow_uri(path):
 
 def fingerprints(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(key 'YYYY-MM-DD/source', path, sha256, length, header) per input file; ``header`` is the
-    file's first line (up to 64 KB), read while hashing."""
-    chunk, header_bytes = CHUNK_BYTES, HEADER_BYTES
+    file's first line, read while hashing."""
+    chunk = CHUNK_BYTES
 
     # Defined here so it is shipped by value: executors need no copy of this package.
     def sha256_files(batches):
@@ -37,14 +36,16 @@ def fingerprints(spark: SparkSession, paths: list[str]) -> DataFrame:
             for uri in batch["uri"]:
                 filesystem, inner = fs.FileSystem.from_uri(uri)
                 digest = hashlib.sha256()
-                head = b""
+                head, whole = [], False
                 with filesystem.open_input_stream(inner, compression=None) as stream:
                     while block := stream.read(chunk):
                         digest.update(block)
-                        if len(head) < header_bytes and b"\n" not in head:
-                            head += block[:header_bytes]
+                        if not whole:
+                            line, mark, _ = block.partition(b"\n")
+                            head.append(line)
+                            whole = bool(mark)
                 digests.append(digest.hexdigest())
-                headers.append(head.split(b"\n", 1)[0].rstrip(b"\r").decode("utf-8", "replace"))
+                headers.append(b"".join(head).rstrip(b"\r").decode("utf-8", "replace"))
             yield batch.assign(sha256=digests, header=headers)
 
     listing = spark.read.format("binaryFile").load(paths).select("path", "length")

@@ -65,6 +65,11 @@ def write_empty_run(df: DataFrame, root: str, name: str, run_id: str, batch_date
     empty.coalesce(1).write.format(fmt).mode("append").save(folder)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def utc_now() -> str:
     return datetime.now(timezone.utc).isoformat()
 

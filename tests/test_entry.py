@@ -9,8 +9,11 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    file_level = {"source_fingerprint", "source_changes"}
-    assert set(entry.queries()) - file_level == set(entry.oracle_sql())
+    import oracle_sql
+    from ledgerline.plans.queries import QUERIES
+
+    assert set(QUERIES) == set(oracle_sql.queries())
+    assert set(QUERIES) <= set(entry.queries()) and set(QUERIES) <= set(entry.oracle_sql())
 
 
 def test_small_queries_match_schema(spark):
@@ -18,17 +21,3 @@ def test_small_queries_match_schema(spark):
     for name in ("status_distribution", "quality_metrics", "current_snapshot"):
         df = qs[name](spark, "/root/testdata/sf0.001")
         assert df.count() > 0, name
-
-
-def test_shuffle_sizing_keeps_a_cluster_value(spark):
-    from ledgerline.session import INITIAL_PARTITIONS, SIZED_BY_LEDGER, size_shuffles
-
-    cores = spark.sparkContext.defaultParallelism
-    try:
-        assert size_shuffles(spark, 10) == cores
-        assert size_shuffles(spark, 1000 * 128 * 1024 * 1024 + 1) == 1001  # resized: the value was ours
-        spark.conf.set(INITIAL_PARTITIONS, "4096")  # set by the cluster
-        assert size_shuffles(spark, 10) == 4096
-    finally:
-        spark.conf.unset(INITIAL_PARTITIONS)
-        spark.conf.unset(SIZED_BY_LEDGER)

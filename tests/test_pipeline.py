@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ledgerline.contracts import FUNDING_FIELDS, PAYOUT_FIELDS
 from ledgerline.operators import operations as ops
 from ledgerline.operators.quality import QualityFailure, QualityPolicy
-from ledgerline.operators.reader import ledger_count, ledger_page, record_drilldown
+from ledgerline.operators.reader import ledger_count, ledger_page, page_after, record_drilldown
 from ledgerline.plans.publish import PublicationRefused, run
 from ledgerline.sources import tables
 from ledgerline.sources.fingerprints import fingerprints
@@ -122,7 +122,7 @@ def test_replay_failure_and_backwards_guard(spark, ledger_root):
 
     # Older as-of dates are refused.
     write_day(ledger_root, "2026-09-30", [funding_row("OLD", "2026-09-30")], [])
-    with pytest.raises(PublicationRefused, match="backwards publication"):
+    with pytest.raises(PublicationRefused, match="lies before the published"):
         run(spark, ledger_root, "2026-09-30", policy=QualityPolicy(max_quarantine_ratio=0.1))
 
 
@@ -179,8 +179,15 @@ def test_reader_filters_and_bounds(spark, ledger_root):
         ledger_count(recon, search="x" * 201)
     funding = tables.snapshot(spark, ledger_root, "gold_funding")
     payouts = tables.snapshot(spark, ledger_root, "silver_payouts")
-    parts = record_drilldown(funding, recon, payouts, "F1")
-    assert parts["funding"].count() == 1 and parts["payouts"].first()["payout_id"] == "P1"
+    rows = record_drilldown(funding, recon, payouts, "F1").collect()
+    assert sorted(r["part"] for r in rows) == ["funding", "payouts", "reconciliation"]
+    cut = record_drilldown(funding, recon, payouts, "F1", limits={"payouts": 0})
+    assert cut.count() == 2
+    seen, after = [], None
+    while page := page_after(recon, after, size=7).collect():  # every row is reached, once
+        seen += [r["record_id"] for r in page]
+        after = (page[-1]["record_id"], page[-1]["vendor_id"], page[-1]["status"])
+    assert len(seen) == len(set(seen)) == recon.count() and seen == sorted(seen)
     with pytest.raises(ValueError):
         record_drilldown(funding, recon, payouts, "")
 
@@ -218,30 +225,12 @@ def test_pair_rows_and_leftovers_of_a_failed_run(spark, tmp_path):
     write_day(root, day, funding, payouts)
     policy = QualityPolicy(max_exception_ratio=1.0)
 
-    # Arrays in the reconciliation, or one row per pair in gold_contra_pairs: the same ids.
-    wide = run(spark, root, day, policy=policy)
-    lean = run(spark, root, day, policy=policy, pair_ids=False)
+    done = run(spark, root, day, policy=policy)
     recon = tables.read_dataset(spark, root, "gold_reconciliation")
-    wide_f0 = recon.filter((F.col("run_id") == wide["run_id"]) & (F.col("record_id") == "F0")).first()
-    lean_f0 = recon.filter((F.col("run_id") == lean["run_id"]) & (F.col("record_id") == "F0")).first()
-    assert wide_f0.contra_pair_count == lean_f0.contra_pair_count == 2 and len(wide_f0.contra_pair_ids) == 2
-    assert lean_f0.contra_pair_ids is None and lean_f0.status == wide_f0.status == "AMOUNT_MISMATCH"
-    pairs = tables.read_dataset(spark, root, "gold_contra_pairs").filter(F.col("run_id") == lean["run_id"])
-    assert sorted(r.contra_pair_id for r in pairs.collect()) == wide_f0.contra_pair_ids
-    assert lean["output_counts"]["gold_contra_pairs"] == 2
-    assert wide["reconciliation"] == lean["reconciliation"]
-    assert "gold_contra_pairs" not in wide["output_counts"]  # no record above the default bound
-    # A bound of one id per record: F0 (two pairs) is published without its array, and its
-    # ids are written one row per pair; records within the bound keep their arrays.
-    bound = run(spark, root, day, policy=policy, pair_ids=1)
-    assert bound["output_counts"]["gold_contra_pairs"] == 2
-    recon = tables.read_dataset(spark, root, "gold_reconciliation")  # a fresh listing with the new run
-    bound_f0 = recon.filter((F.col("run_id") == bound["run_id"]) & (F.col("record_id") == "F0")).first()
-    assert bound_f0.contra_pair_ids is None and bound_f0.contra_pair_count == 2
-    bound_pairs = tables.read_dataset(spark, root, "gold_contra_pairs").filter(F.col("run_id") == bound["run_id"])
-    assert sorted(r.contra_pair_id for r in bound_pairs.collect()) == wide_f0.contra_pair_ids
-    f1 = recon.filter((F.col("run_id") == bound["run_id"]) & (F.col("record_id") == "F1")).first()
-    assert f1.contra_pair_ids == []
+    first = recon.filter(F.col("record_id") == "F0").first()
+    assert first.contra_pair_count == 2 and first.status == "AMOUNT_MISMATCH"
+    pairs = tables.read_dataset(spark, root, "gold_contra_pairs").collect()
+    assert done["output_counts"]["gold_contra_pairs"] == 2 and sorted(r.pair_rank for r in pairs) == [1, 2]
 
     # A failed gate leaves the run's written partitions without an audit row: orphans (A13),
     # found by the anti-join and removed by dropping the run's partition folders (D9).
@@ -249,7 +238,7 @@ def test_pair_rows_and_leftovers_of_a_failed_run(spark, tmp_path):
         run(spark, root, day, policy=QualityPolicy(max_exception_ratio=1.0, min_funding_records=100))
     failed = tables.read_alerts(spark, root).filter(F.col("category") == "QUALITY_GATE_FAILED")
     assert failed.count() == 1
-    names = [*DATASETS, "gold_contra_pairs"]
+    names = list(DATASETS)
     audit = tables.read_audit(spark, root)
     cutoff = "2999-01-01T00:00:00+00:00"
 
@@ -268,12 +257,14 @@ def test_pair_rows_and_leftovers_of_a_failed_run(spark, tmp_path):
         gold_month_end=2,
         exceptions=1,
         quarantine=0,
-        gold_contra_pairs=0,
+        gold_contra_pairs=2,
     )
+    present = {n: tables.read_dataset(spark, root, n) for n in names}
+    failed = ops.orphan_runs(present, audit, cutoff)  # from the ledger's own rows, not from alerts
     targets = ops.drop_runs(spark, root, failed, names)  # preview: nothing removed
     assert len(targets) == len(names) and leftovers() == before
     ops.drop_runs(spark, root, failed, names, apply=True)
     assert set(leftovers().values()) == {0}
     # The published runs are untouched.
     assert tables.snapshot(spark, root, "gold_reconciliation").count() == 4
-    assert recon.filter(F.col("run_id") == wide["run_id"]).count() == 4
+    assert recon.filter(F.col("run_id") == done["run_id"]).count() == 4
