@@ -1,7 +1,7 @@
 """Daily CSV drops (S1, S2): ``<root>/raw/<YYYY-MM-DD>/{funding,payouts}.csv``.
 
-Discovery lists file paths with a distributed ``binaryFile`` listing (content is never read);
-the as-of selection is a filter on the folder date, and the pairing rule (both files per day) is
+Discovery lists the day folders through Spark's file system, so an empty folder counts, and their
+files with a distributed ``binaryFile`` listing (content is never read); the as-of selection is a filter on the folder date, and the pairing rule (both files per day) is
 an aggregate. All selected days of one source are then read by ONE multi-path CSV scan with the
 all-string contract schema; each row carries its file and partition date from ``_metadata``.
 Headers are checked per file by Spark's own CSV header check (``enforceSchema=false``), and
@@ -10,6 +10,7 @@ malformed rows abort the read (FAILFAST) - both happen during the scan itself.
 
 from __future__ import annotations
 
+import re
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +40,15 @@ def _files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def _folders(spark: SparkSession, root: str) -> list[str]:
+    """Names of the folders below ``raw``: one per day."""
+    raw = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/raw")
+    files = raw.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(raw):
+        return []
+    return sorted(f.getPath().getName() for f in files.listStatus(raw) if f.isDirectory())
+
+
 def partitions(spark: SparkSession, root: str, as_of: str) -> DataFrame:
     """Per selected day (folder <= as_of): folder, funding path, payouts path.
 
@@ -46,19 +56,23 @@ def partitions(spark: SparkSession, root: str, as_of: str) -> DataFrame:
     lacks one of the two files. The result has one row per day (metadata, not data).
     """
     date.fromisoformat(as_of)
+    folders = _folders(spark, root)
+    for folder in folders:
+        if not re.fullmatch(DATE_PATTERN, folder):
+            raise ValueError(f"raw/{folder}: a day folder is named YYYY-MM-DD")
+        date.fromisoformat(folder)
+    if as_of not in folders:
+        raise FileNotFoundError(f"no day folder raw/{as_of}")
     files = _files(spark, root).filter(F.col("source").isin("funding", "payouts"))
     days = files.groupBy("folder").agg(
         F.max(F.when(F.col("source") == "funding", F.col("path"))).alias("funding"),
         F.max(F.when(F.col("source") == "payouts", F.col("path"))).alias("payouts"),
     )
-    rows = days.collect()  # one row per day folder
-    for row in rows:
-        date.fromisoformat(row["folder"])  # every folder must be an ISO date
-    if not any(r["folder"] == as_of for r in rows):
-        raise FileNotFoundError(f"Missing source partition for {as_of}")
-    for row in rows:
-        if row["folder"] <= as_of and (row["funding"] is None or row["payouts"] is None):
-            raise FileNotFoundError(f"{row['folder']}: both funding.csv and payouts.csv are required")
+    found = {r["folder"]: r for r in days.collect()}  # one row per day folder
+    for folder in folders:
+        row = found.get(folder)
+        if folder <= as_of and (row is None or row["funding"] is None or row["payouts"] is None):
+            raise FileNotFoundError(f"raw/{folder} needs a funding.csv and a payouts.csv")
     return days.filter(F.col("folder") <= F.lit(as_of))
 
 

@@ -166,6 +166,26 @@ def test_late_settlement_in_later_partition(spark, tmp_path):
         run(spark, root, "2026-10-02")
 
 
+@pytest.mark.parametrize(
+    "folder,files,error",
+    [
+        ("2026-09-29", [], FileNotFoundError),  # empty
+        ("2026-09-29", ["Funding.csv", "payouts.csv"], FileNotFoundError),  # another case
+        ("2026-09-29", ["payouts.csv"], FileNotFoundError),
+        ("not-a-date", [], ValueError),
+    ],
+)
+def test_an_incomplete_day_is_refused(spark, tmp_path, folder, files, error):
+    from ledgerline.sources.csv_drops import load_as_of
+
+    write_day(str(tmp_path), "2026-09-30", [funding_row("M", "2026-09-30")], [])
+    (tmp_path / "raw" / folder).mkdir()
+    for name in files:
+        (tmp_path / "raw" / folder / name).write_text("x\n")
+    with pytest.raises(error):
+        load_as_of(spark, str(tmp_path), "2026-09-30")
+
+
 def test_reader_filters_and_bounds(spark, ledger_root):
     run(spark, ledger_root, "2026-10-01", policy=QualityPolicy(max_quarantine_ratio=0.1))
     recon = tables.snapshot(spark, ledger_root, "gold_reconciliation")
