@@ -37,7 +37,7 @@ from ledgerline.llm import common
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-CACHE_CHUNKS = 250_000
+CACHE_CHUNKS = 200_000
 STRIDE = 1024
 SEPARATOR = 0xFF  # never a byte of UTF-8, so no piece reaches past a chunk
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
@@ -271,7 +271,7 @@ def build(path: str) -> tuple[Vocabulary, DoubleArray]:
 
 
 def codec(path: str, made: tuple[Vocabulary, DoubleArray]) -> Codec:
-    """One for each worker process: it keeps its cache from task to task."""
+    """One for each worker process."""
     if path not in _CODECS:
         _CODECS[path] = Codec(*made)
     return _CODECS[path]
@@ -292,6 +292,7 @@ def encode(docs: DataFrame, model: str | None = None) -> DataFrame:
             flat = pa.array(np.frombuffer(b"".join(coded), "<i4"))
             ids = pa.ListArray.from_arrays(pa.array(ends), flat)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text").cast(pa.string()), ids], schema=schema)
+        coder.cache = {}  # the worker may go on with other work
 
     needed = docs.select(F.col("doc_id").cast("long"), "text")
     return needed.mapInArrow(run, "doc_id long, text string, piece_ids array<int>")

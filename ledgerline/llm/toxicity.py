@@ -47,9 +47,9 @@ ALIKE = 0.5
 COST = 0.02
 #: A unit of more letters is read as overlapping stretches of so many.
 LONG = 48
-CHUNK_WORDS = 1_000_000
-#: Units whose kernel values a worker keeps; beyond it, it starts anew.
-CACHE_UNITS = 400_000
+CHUNK_WORDS = 500_000
+#: Units whose kernel values a task keeps; beyond it, it starts anew.
+CACHE_UNITS = 200_000
 _REST = re.compile(r"[\W\d_]+")
 _STANDS = re.compile(r"(?<=[^\W\d_])[013457@$!](?=[^\W\d_])")
 # Signs read as the letter that they resemble.
@@ -163,7 +163,7 @@ class Landmarks:
         self.n_letters = len(alphabet) + 1
         self.bags = self._bags(self.codes, self.sizes)
         self.own = kernel(self.codes, self.codes)
-        self.table: Units | None = None  # kept by a worker from chunk to chunk
+        self.table: Units | None = None  # kept by a task from chunk to chunk
 
     def _bags(self, codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         row = np.repeat(np.arange(len(codes)), codes.shape[1])
@@ -231,6 +231,10 @@ class Landmarks:
             mean = mean / np.maximum(np.bincount(home, minlength=len(texts)), 1)[:, None]
         return np.hstack([mean @ self.turn, most @ self.turn])
 
+    def forget(self) -> None:
+        """Free what a task has kept: its worker may go on with other work."""
+        self.table, self.which, self.value = None, np.zeros(0, np.int64), np.zeros(0)
+
     def whiten(self) -> None:
         m = len(self.names)
         who, which, value = self.values(self.names)
@@ -344,6 +348,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, landmarks:
             found = shared.value.features(common.texts(batch))
             columns = [pa.array(list(found), pa.list_(pa.float64())), batch.column("toxic").cast(pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["x", "toxic"])
+        shared.value.forget()
 
     got = sample.mapInArrow(turn, "x array<double>, toxic long").toPandas()  # fit_rows x features
     return Model(marks, train(np.stack(got["x"].to_numpy()), got["toxic"].to_numpy() > 0), t / n)
@@ -376,6 +381,8 @@ def score(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
                 held, texts, size = [], [], 0
         if held:
             yield rows(held, texts)
+        if model.landmarks:
+            model.landmarks.forget()
 
     needed = docs.select(F.struct(*(docs[c] for c in carry)).alias("row"), F.col("text").alias("body"))
     kind = needed.schema["row"].dataType.simpleString()
