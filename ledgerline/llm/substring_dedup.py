@@ -1,7 +1,8 @@
 """Operator 10: repeated substrings by recompression.
 
 A window is ``window`` consecutive words of one document. A word is removed if a window covers it
-whose words also start earlier (a smaller ``doc_id``, or the same document further left).
+whose words also start earlier (a smaller ``doc_id``, of equal ids a text of smaller hash, or the
+same text further left).
 
 Recompression names runs of equal words, then, round by round, the pairs of neighbouring symbols
 whose first symbol falls in the left half of the alphabet and whose second falls in the right
@@ -14,16 +15,17 @@ is the largest for which every window of distinct neighbours holds such a symbol
 Every window picks, of the borders that depend on its own words alone, the one of least key; equal
 windows pick the same border. Neighbouring windows with the same border form a segment. Segments
 are dealt by their border's key, so equal windows meet in one task, which compares them by their
-hashes (the key and 40 more bits) in (doc_id, start) order. A window without such a border (inside
+hashes (the key and 40 more bits) in (doc_id, text hash, start) order. A window without such a border (inside
 long runs of one word) is dealt by its own hash.
 
 Volume: a task first drops segments that repeat within its own chunk of documents, so a passage
 shared by very many documents brings one segment a chunk; all segments of a chunk and bucket
-travel as one packed row. A document's removed ranges then join its text by ``doc_id``.
+travel as one packed row. A document's removed ranges then join its text by ``doc_id`` and the
+text's hash, so ranges touch only the text in which they were found.
 
-Defined cases: null text has no words; a null ``doc_id`` counts as smaller than all others, and
-rows of equal ``doc_id`` as one document (neither is earlier; ranges found in one row hold in
-all); fewer words than a window: nothing is removed; an empty table gives no rows. Other columns
+Defined cases: null text has no words; a null ``doc_id`` counts as smaller than all others; rows of
+equal or null ids with different texts are different documents; rows of equal ``doc_id`` and text
+count as one document (neither is earlier); fewer words than a window: nothing is removed; an empty table gives no rows. Other columns
 pass through unchanged, whatever their names.
 """
 
@@ -161,45 +163,70 @@ def segments(hashes: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
     return first, stop - first, best[first], whole
 
 
-def pack(key: np.ndarray, doc: np.ndarray, start: np.ndarray, count: np.ndarray, hashes: np.ndarray) -> bytes:
-    """``count`` 0 - 127: windows whose hashes follow; 128 more: windows already known as repeats."""
-    sizes = np.array([len(key), len(hashes)], "<i8")
+def changes(doc: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """Marks of the places where another document (id, text hash) begins."""
+    return np.concatenate([np.ones(min(1, len(doc)), bool), (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1])])
+
+
+def pack(key: np.ndarray, doc: np.ndarray, mark: np.ndarray, start: np.ndarray, count: np.ndarray, hashes: np.ndarray) -> bytes:
+    """``count`` 0 - 127: windows whose hashes follow; 128 more: windows already known as repeats.
+    ``doc`` and ``mark`` (the text's hash) are kept once for the neighbouring segments of a document."""
+    heads = np.flatnonzero(changes(doc, mark))
+    held = np.diff(np.concatenate([heads, [len(doc)]]))
+    sizes = np.array([len(key), len(hashes), len(heads)], "<i8")
     low, high = hashes.astype("<u4"), (hashes >> np.uint64(32)).astype("u1")
-    parts = (sizes, key.astype("<u8"), doc.astype("<i8"), start.astype("<i4"), count.astype("u1"), low, high)
+    owners = (doc[heads].astype("<i8"), mark[heads].astype("<i8"), held.astype("<u4"))
+    parts = (sizes, *owners, key.astype("<u8"), start.astype("<i4"), count.astype("u1"), low, high)
     return b"".join(p.tobytes() for p in parts)
 
 
-def unpack(blob: bytes | memoryview) -> tuple[np.ndarray, ...]:
-    s, w = np.frombuffer(blob, "<i8", 2).tolist()
-    out, at = [], 16
-    for kind, size in (("<u8", s), ("<i8", s), ("<i4", s), ("u1", s), ("<u4", w), ("u1", w)):
+def _fields(blob: bytes | memoryview) -> list[np.ndarray]:
+    s, w, d = np.frombuffer(blob, "<i8", 3).tolist()
+    out, at = [], 24
+    for kind, size in (("<i8", d), ("<i8", d), ("<u4", d), ("<u8", s), ("<i4", s), ("u1", s), ("<u4", w), ("u1", w)):
         out.append(np.frombuffer(blob, kind, size, at))
         at += out[-1].nbytes
-    low, high = out.pop(-2), out.pop(-1)
-    return (*out, low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32)))
+    return out
 
 
-def chunk_rows(ids: np.ndarray, docs: list[list[bytes]], window: int, buckets: int) -> Iterator[tuple[int, bytes]]:
-    """(bucket, packed segments) of a chunk of documents."""
-    order = np.argsort(ids, kind="stable")
-    ids, docs = ids[order], [docs[i] for i in order]
+def unpack(blob: bytes | memoryview) -> tuple[np.ndarray, ...]:
+    """Key, doc, start and count of each segment, and the hashes of its windows."""
+    doc, _, held, key, start, count, low, high = _fields(blob)
+    return key, np.repeat(doc, held), start, count, low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32))
+
+
+def marks(blob: bytes | memoryview) -> np.ndarray:
+    """The hash of each segment's text."""
+    _, mark, held, *_ = _fields(blob)
+    return np.repeat(mark, held)
+
+
+def chunk_rows(
+    ids: np.ndarray, docs: list[list[bytes]], window: int, buckets: int, hashed: np.ndarray | None = None
+) -> Iterator[tuple[int, bytes]]:
+    """(bucket, packed segments) of a chunk of documents; ``hashed`` are the hashes of their texts
+    (not needed where no id is repeated)."""
+    hashed = np.zeros(len(ids), np.int64) if hashed is None else hashed
+    order = np.lexsort((hashed, ids))
+    ids, hashed, docs = ids[order], hashed[order], [docs[i] for i in order]
+    owner = np.cumsum(changes(ids, hashed))
     hashes, begins = word_hashes(docs)
     first, count, key, whole = segments(hashes, window)
     if not len(first):
         return
     home = np.searchsorted(begins, first, side="right") - 1
-    start, doc = first - begins[home], ids[home]
+    start, doc, mark, own = first - begins[home], ids[home], hashed[home], owner[home]
     # Segments that repeat here: all but the first one are known repeats, whatever other tasks hold.
     sums = np.concatenate([[np.uint64(0)], np.cumsum(name(whole, np.uint64(7)))])
     full = name(name(sums[first + count] - sums[first], count.astype(np.uint64)), key)
     _, earliest, same = np.unique(full, return_index=True, return_inverse=True)
     earliest = earliest[same]
-    known = (doc != doc[earliest]) | (start != start[earliest])
+    known = (own != own[earliest]) | (start != start[earliest])
     drop = ~known & (earliest != np.arange(len(first)))  # the same place of a repeated row
     bucket = ((key >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
     turn = np.lexsort((first, bucket))
     turn = turn[~drop[turn]]
-    first, count, key, doc, start, known, bucket = (x[turn] for x in (first, count, key, doc, start, known, bucket))
+    first, count, key, doc, mark, start, known, bucket = (x[turn] for x in (first, count, key, doc, mark, start, known, bucket))
     sent = np.where(known, 0, count)
     ends = np.cumsum(sent)
     windows = whole[np.repeat(first - (ends - sent), sent) + np.arange(ends[-1])]
@@ -207,7 +234,7 @@ def chunk_rows(ids: np.ndarray, docs: list[list[bytes]], window: int, buckets: i
     cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
     for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(bucket)], strict=True):
         held = windows[ends[a] - sent[a] : ends[b - 1]]
-        yield int(bucket[a]), pack(key[a:b], doc[a:b], start[a:b], count[a:b], held)
+        yield int(bucket[a]), pack(key[a:b], doc[a:b], mark[a:b], start[a:b], count[a:b], held)
 
 
 def repeats(key: np.ndarray, doc: np.ndarray, start: np.ndarray, count: np.ndarray, hashes: np.ndarray) -> tuple:
@@ -244,55 +271,70 @@ def repeats(key: np.ndarray, doc: np.ndarray, start: np.ndarray, count: np.ndarr
 
 
 def repeated_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc, start, words): ranges of words of ``docs`` covered by windows that start earlier
-    elsewhere. ``doc`` is doc_id, with NULL_DOC for null."""
+    """(doc, mark, start, words): ranges of words of ``docs`` covered by windows that start earlier
+    elsewhere. ``doc`` is doc_id, with NULL_DOC for null; ``mark`` is the text's hash."""
     spark = docs.sparkSession
     common.prepare(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[int] = []
+        hashed: list[int] = []
         held: list[list[bytes]] = []
         size = 0
 
         def rows() -> pa.RecordBatch:
-            made = list(chunk_rows(np.array(ids, np.int64), held, window, parts))
+            made = list(chunk_rows(np.array(ids, np.int64), held, window, parts, np.array(hashed, np.int64)))
             columns = [pa.array([m[0] for m in made], pa.int32()), pa.array([m[1] for m in made], pa.binary())]
             return pa.RecordBatch.from_arrays(columns, names=["bucket", "blob"])
 
         for batch in batches:
-            for doc, text in zip(batch.column("doc").to_pylist(), common.texts(batch), strict=True):
+            keys = (batch.column("doc").to_pylist(), batch.column("mark").to_pylist())
+            for doc, mark, text in zip(*keys, common.texts(batch), strict=True):
                 words = text.encode("utf-8", "surrogatepass").split()  # bytes: ASCII white space
                 if len(words) < window:
                     continue
                 ids.append(doc)
+                hashed.append(mark)
                 held.append(words)
                 size += len(words)
                 if size >= CHUNK_WORDS:
                     yield rows()
-                    ids, held, size = [], [], 0
+                    ids, hashed, held, size = [], [], [], 0
         if ids:
             yield rows()
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [unpack(blob.as_buffer()) for batch in batches for blob in batch.column("blob")]
-        if held:
-            doc, start, count = repeats(*(np.concatenate(x) for x in zip(*held, strict=True)))
-            columns = [pa.array(doc), pa.array(start, pa.int64()), pa.array(count + window - 1, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc", "start", "words"])
-
-    segs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_DOC)).alias("doc"), "text")
+        blobs = [blob.as_buffer() for batch in batches for blob in batch.column("blob")]
+        if blobs:
+            key, doc, start, count, hashes = (np.concatenate(x) for x in zip(*map(unpack, blobs), strict=True))
+            mark = np.concatenate([marks(b) for b in blobs])
+            blobs.clear()
+            order = np.lexsort((mark, doc))
+            new = changes(doc[order], mark[order])
+            place = np.empty(len(doc), np.int64)  # documents by their rank in (doc_id, text hash) order
+            place[order] = np.cumsum(new) - 1
+            docs, texts = doc[order][new], mark[order][new]
+            place, start, count = repeats(key, place, start, count, hashes)
+            columns = [pa.array(x, pa.int64()) for x in (docs[place], texts[place], start, count + window - 1)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc", "mark", "start", "words"])
+
+    segs = docs.select(*_identity(), "text")
     dealt = segs.mapInArrow(cut, "bucket int, blob binary").repartitionById(parts, "bucket")
-    return dealt.mapInArrow(match, "doc long, start long, words long")
+    return dealt.mapInArrow(match, "doc long, mark long, start long, words long")
+
+
+def _identity() -> tuple[F.Column, F.Column]:
+    """What tells documents apart, as doc and mark: the id, and the text's hash."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_DOC)).alias("doc"), F.xxhash64("text").alias("mark")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """All columns of ``docs`` as struct ``row``, and n_words, n_removed, kept (the words that stay,
     joined by single spaces)."""
-    ranges = repeated_ranges(docs, window).groupBy("doc").agg(F.collect_list(F.struct("start", "words")).alias("cuts"))
-    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_DOC)).alias("doc")
-    rows = docs.select(doc, F.col("text").alias("body"), F.struct(*(docs[c] for c in docs.columns)).alias("row"))
-    joined = rows.join(ranges, "doc", "left").select("row", "body", "cuts.start", "cuts.words")
+    ranges = repeated_ranges(docs, window).groupBy("doc", "mark").agg(F.collect_list(F.struct("start", "words")).alias("cuts"))
+    rows = docs.select(*_identity(), F.col("text").alias("body"), F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    joined = rows.join(ranges, ["doc", "mark"], "left").select("row", "body", "cuts.start", "cuts.words")
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

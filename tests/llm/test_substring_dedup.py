@@ -85,3 +85,21 @@ def test_frame_with_odd_rows(spark):
         expected.append((i, t, len(words), sum(gone), kept))
     assert sorted(((r["doc_id"], r["text"], r["n_words"], r["n_removed"], r["kept"]) for r in got), key=str) == sorted(expected, key=str)
     assert S.remove_repeats(docs_frame(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_null_and_repeated_ids_lose_only_their_own_words(spark, parts):
+    line = lambda w, n: " ".join(f"{w}{i}" for i in range(n))
+    shared = line("s", 25)
+    rows = [(None, shared), (None, line("u", 60)), (None, f"{shared} {line('v', 30)}"), (None, f"{line('x', 9)} {shared}")]
+    rows += [(7, f"{shared} {line('w', 30)}"), (7, line("y", 70)), (7, f"{shared} {line('z', 5)}"), (7, line("y", 70))]
+    frame = docs_frame(spark, rows)
+    mark = {r["text"]: r["h"] for r in frame.selectExpr("text", "xxhash64(text) as h").collect()}
+    places = [(S.NULL_DOC if i is None else i, mark[t]) for i, t in rows]
+    ranked = [(sorted(set(places)).index(p), t) for p, (_, t) in zip(places, rows, strict=True)]
+    want = []
+    for (i, _), (words, gone) in zip(rows, plain(ranked, S.WINDOW), strict=True):
+        want.append((i, sum(gone), b" ".join(w for w, g in zip(words, gone, strict=True) if not g).decode()))
+    got = S.remove_repeats(frame.repartition(parts)).select("row.doc_id", "n_removed", "kept").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    assert sorted(n for _, n, _ in want) == [0, 0, 0, 0, 25, 25, 25, 25]
