@@ -57,12 +57,14 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 @_stage
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents into which no benchmark item leaks. The leaking documents' keys are written first,
-    so where they are few Spark moves no text."""
+    """Documents into which no benchmark item leaks. Only the leaking texts go: other texts of the same
+    (or also of no) id stay. The leaking documents' keys are written first, so where they are few
+    Spark moves no text."""
     benchmark = common.table(spark, sf_dir, "benchmark")
-    hits = decontamination.leaks(docs, benchmark).select("doc_id").distinct()
+    hits = decontamination.leaks(docs, benchmark).select("doc_id", "text_hash").distinct()
     hits = common.materialize(hits, "leaking-documents")
-    return docs.join(hits, docs["doc_id"].cast("long").eqNullSafe(hits["doc_id"]), "left_anti")
+    leaking = docs["doc_id"].cast("long").eqNullSafe(hits["doc_id"]) & (F.xxhash64(docs["text"]) == hits["text_hash"])
+    return docs.join(hits, leaking, "left_anti")
 
 
 @_stage

@@ -259,14 +259,15 @@ class Index:
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, recall: float = RECALL) -> DataFrame:
-    """doc_id, item_id, edits, item_words, end_word of each (document, item) where the item leaks;
-    ``benchmark`` has item_id and text."""
+    """doc_id, text_hash, item_id, edits, item_words, end_word of each (document, item) where the item
+    leaks; ``benchmark`` has item_id and text. Where ids are null or repeated, text_hash (Spark's
+    xxhash64 of the text) tells which row leaks."""
     spark = docs.sparkSession
     common.prepare(spark)
     items = benchmark.select(F.col("item_id").cast("long"), "text").filter("text is not null")
     blocks = max(1, -(-items.count() // ITEM_BLOCK))
-    needed = docs.select(F.col("doc_id").cast("long"), "text")
-    names = ["doc_id", "item_id", "edits", "item_words", "end_word"]
+    needed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
+    names = ["doc_id", "text_hash", "item_id", "edits", "item_words", "end_word"]
     schema = pa.schema([(n, pa.int64()) for n in names])
     found = None
     for block in range(blocks):
@@ -278,10 +279,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, recall: f
             index = shared.value
             words = Words(index.vocabulary)
 
-            def rows(ids: list, held: list[np.ndarray]) -> pa.RecordBatch:
+            def rows(ids: list, hashed: list[int], held: list[np.ndarray]) -> pa.RecordBatch:
                 hits = index.leaks(held)
                 columns = [
                     [ids[d] for d, *_ in hits],
+                    [hashed[d] for d, *_ in hits],
                     [index.ids[i] for _, i, *_ in hits],
                     [e for _, _, e, _ in hits],
                     [int(index.lengths[i]) for _, i, *_ in hits],
@@ -290,18 +292,21 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, recall: f
                 return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
 
             ids: list[int | None] = []
+            hashed: list[int] = []
             held: list[np.ndarray] = []
             size = 0
             for batch in batches:
-                for doc, text in zip(batch.column("doc_id").to_pylist(), common.texts(batch), strict=True):
+                keys = (batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist())
+                for doc, mark, text in zip(*keys, common.texts(batch), strict=True):
                     ids.append(doc)
+                    hashed.append(mark)
                     held.append(words.symbols(text))
                     size += len(held[-1])
                     if size >= CHUNK_WORDS:
-                        yield rows(ids, held)
-                        ids, held, size = [], [], 0
+                        yield rows(ids, hashed, held)
+                        ids, hashed, held, size = [], [], [], 0
             if ids:
-                yield rows(ids, held)
+                yield rows(ids, hashed, held)
 
         part = needed.mapInArrow(search, ", ".join(f"{n} long" for n in names))
         found = part if found is None else found.unionAll(part)
@@ -310,4 +315,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, recall: f
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, item_id, edits, item_words, end_word of every leak of a benchmark item."""
-    return leaks(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+    found = leaks(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")

@@ -74,6 +74,15 @@ def test_leaking_documents_go(spark, steps):
         assert leak == (r["doc_id"] in gone)
 
 
+def test_clean_texts_of_a_leaking_id_stay(spark):
+    item = spark.read.parquet(f"{SMALL}/benchmark.parquet").filter("length(text) > 40").orderBy("item_id").first()["text"]
+    rows = [(None, f"before {item} after"), (None, "clean words without an id"), (None, None)]
+    rows += [(9, item), (9, "clean words of a repeated id"), (9, "clean words of a repeated id"), (10, "others")]
+    frame = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.STAGES[3][1](spark, frame, SMALL).select("doc_id", "text").collect()
+    assert sorted(map(tuple, got), key=str) == sorted((r for r in rows if item not in (r[1] or "")), key=str)
+
+
 def test_token_ids(steps):
     codec = sentencepiece_codec.Codec(*sentencepiece_codec.build(sentencepiece_codec.default_model()))
     texts = {r["doc_id"]: r["text"] for r in steps[4]}
