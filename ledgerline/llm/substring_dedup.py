@@ -19,8 +19,10 @@ hashes (the key and 40 more bits) in (doc_id, text hash, start) order. A window
 long runs of one word) is dealt by its own hash.
 
 Volume: a task first drops segments that repeat within its own chunk of documents, so a passage
-shared by very many documents brings one segment a chunk; all segments of a chunk and bucket
-travel as one packed row. A document's removed ranges then join its text by ``doc_id`` and the
+shared by very many documents brings one segment a chunk to its key's bucket. The dropped ones need
+no comparison any more: their ranges are dealt evenly, by document and place. There are as many
+buckets as the session's shuffle partitions, and more where ``BUCKET_BYTES`` of text a bucket ask for
+more. All segments of a chunk and bucket travel as one packed row. A document's removed ranges then join its text by ``doc_id`` and the
 text's hash, so ranges touch only the text in which they were found.
 
 Defined cases: null text has no words; a null ``doc_id`` counts as smaller than all others; rows of
@@ -44,6 +46,8 @@ from ledgerline.llm import common
 WINDOW = 20
 #: Words that a task takes at a time; documents are never split.
 CHUNK_WORDS = 500_000
+#: Bytes of text whose segments a task compares, on average.
+BUCKET_BYTES = 16_000_000
 NULL_DOC = -(2**63)
 _C1, _C2, _C3 = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _MOST = ~np.uint64(0)
@@ -223,7 +227,8 @@ def chunk_rows(
     earliest = earliest[same]
     known = (own != own[earliest]) | (start != start[earliest])
     drop = ~known & (earliest != np.arange(len(first)))  # the same place of a repeated row
-    bucket = ((key >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+    spread = name((doc ^ mark).astype(np.uint64), (start // 1024).astype(np.uint64))
+    bucket = ((np.where(known, spread, key) >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
     turn = np.lexsort((first, bucket))
     turn = turn[~drop[turn]]
     first, count, key, doc, mark, start, known, bucket = (x[turn] for x in (first, count, key, doc, mark, start, known, bucket))
@@ -270,12 +275,18 @@ def repeats(key: np.ndarray, doc: np.ndarray, start: np.ndarray, count: np.ndarr
     return tuple(np.concatenate(x) for x in zip(ready, found, strict=True))
 
 
+def bucket_count(docs: DataFrame) -> int:
+    """Buckets that segments are dealt to, from the bytes of ``docs``' texts."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+
+
 def repeated_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc, mark, start, words): ranges of words of ``docs`` covered by windows that start earlier
     elsewhere. ``doc`` is doc_id, with NULL_DOC for null; ``mark`` is the text's hash."""
     spark = docs.sparkSession
     common.prepare(spark)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = bucket_count(docs)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[int] = []

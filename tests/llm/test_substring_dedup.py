@@ -103,3 +103,22 @@ def test_null_and_repeated_ids_lose_only_their_own_words(spark, parts):
     got = S.remove_repeats(frame.repartition(parts)).select("row.doc_id", "n_removed", "kept").collect()
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
     assert sorted(n for _, n, _ in want) == [0, 0, 0, 0, 25, 25, 25, 25]
+
+
+def test_known_repeats_spread_over_the_buckets():
+    passage = [f"s{i}".encode() for i in range(25)]
+    docs = [[*passage, *(f"t{d}_{i}".encode() for i in range(5))] for d in range(400)] + [[b"same"] * 20_000]
+    held = np.zeros(10, np.int64)
+    for bucket, blob in S.chunk_rows(np.arange(len(docs)), docs, 20, 10):
+        held[bucket] += (S.unpack(blob)[3] >= 128).sum()
+    assert held.sum() > 15_000 and held.max() < 0.4 * held.sum()
+
+
+def test_buckets_grow_with_the_text(spark, monkeypatch):
+    frame = docs_frame(spark, [(i, "w " * 500) for i in range(90)] + [(None, None)])
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert S.bucket_count(frame) == least == S.bucket_count(docs_frame(spark, []))
+    monkeypatch.setattr(S, "BUCKET_BYTES", 1_000)
+    assert S.bucket_count(frame) == 90
+    got = S.remove_repeats(frame).selectExpr("sum(n_removed)").first()[0]
+    assert got == 90 * 500 - 1  # the window from the second word on repeats the first one
