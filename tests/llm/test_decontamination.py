@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from llm_cases import ODD_TEXTS, docs_frame
 
 from ledgerline.llm import decontamination as D
@@ -62,6 +63,27 @@ def test_repetitions_reach_the_recall():
     assert index.measured >= D.RECALL or len(index.repetitions) == D.MOST_REPETITIONS
 
 
+def test_the_recall_is_required(monkeypatch):
+    rnd = random.Random(9)
+    for size, words in ((40, 60), (20, 10), (60, 3)):
+        items = [(i, " ".join(text(rnd, size, words))) for i in range(50)]
+        assert D.Index(items, D.SHARE, D.RECALL).measured >= D.RECALL
+    plain, slow = D.Repetition.candidates, []
+
+    def few(self, symbols, lengths):  # a walk finds copies of one length in six
+        found = plain(self, symbols, lengths)
+        slow.append(self) if self not in slow else None
+        return found if (len(symbols) + len(slow)) % 6 == 0 else tuple(x[:0] for x in found)
+
+    monkeypatch.setattr(D, "MOST_REPETITIONS", 5)
+    monkeypatch.setattr(D.Repetition, "candidates", few)
+    index = D.Index(items, D.SHARE, D.RECALL)
+    assert index.measured >= D.RECALL and len(index.repetitions) > D.MOST_REPETITIONS
+    monkeypatch.setattr(D.Repetition, "candidates", lambda *given: tuple(x[:0] for x in plain(*given)))
+    with pytest.raises(RuntimeError, match="asked for"):
+        D.Index(items, D.SHARE, D.RECALL)
+
+
 def test_odd_rows(spark):
     item = "alpha beta gamma delta epsilon zeta"
     rows = [*enumerate(ODD_TEXTS), (20, f"x {item} y"), (20, f"x {item} y"), (None, item.upper()), (21, "!!! alpha")]
