@@ -13,7 +13,7 @@ import zipfile
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch sent to Python: bounds a worker's memory where texts are long.
@@ -88,6 +88,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(rows: DataFrame, group: list[str], order: list[str], name: str) -> tuple[DataFrame, DataFrame]:
+    """Places within groups of any size, without a task that holds a group.
+
+    Rows are sorted over the cluster by ``group`` and ``order`` (nulls first; equal rows are split too) and
+    written with ``key``, a unique number that ascends in that order, and ``part``, their range. The second
+    frame has a row per range and group: ``part``, the group, ``first`` (the least key there), ``n`` (rows
+    there) and ``start`` (rows of the group in ranges before). A row's place in its group is key - first + start."""
+    tied = rows.withColumn("_tie", F.monotonically_increasing_id())
+    keys = [*group, *order, "_tie"]
+    ranged = tied.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_tie")
+    ranged = ranged.withColumn("key", F.monotonically_increasing_id())
+    written = materialize(ranged.withColumn("part", F.shiftright("key", 33)), name)
+    runs = written.groupBy("part", *group).agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("first"))
+    before = Window.partitionBy(*(group or [F.lit(0)])).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return written, runs.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+
+
 def in_training(column: str, folds: int) -> F.Column:
     """True where crc32(column as text) mod ``folds`` is not 0. A null id is never training."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % folds != 0, F.lit(False))

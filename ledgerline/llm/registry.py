@@ -6,6 +6,7 @@ from ledgerline.llm.ann import op7_ann
 from ledgerline.llm.decontamination import op4_decontamination
 from ledgerline.llm.langid import op3_langid
 from ledgerline.llm.maxent_lm import op8_lm_scoring
+from ledgerline.llm.merkle import op12_merkle
 from ledgerline.llm.secret_scan import op11_secrets
 from ledgerline.llm.sentencepiece_codec import op1_sentencepiece
 from ledgerline.llm.simhash import op6_simhash
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_token_files": op9_token_files,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_secrets": op11_secrets,
+    "op12_merkle": op12_merkle,
 }
 
 ORACLE_SQL: dict[str, str] = {}
