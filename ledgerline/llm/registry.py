@@ -7,6 +7,8 @@ from ledgerline.llm.decontamination import op4_decontamination
 from ledgerline.llm.langid import op3_langid
 from ledgerline.llm.maxent_lm import op8_lm_scoring
 from ledgerline.llm.merkle import op12_merkle
+from ledgerline.llm.oracles import MANIFEST_SQL, TRIE_SQL
+from ledgerline.llm.prefix_trie import op13_prefix_trie
 from ledgerline.llm.secret_scan import op11_secrets
 from ledgerline.llm.sentencepiece_codec import op1_sentencepiece
 from ledgerline.llm.simhash import op6_simhash
@@ -28,6 +30,7 @@ QUERIES = {
     "op10_substring_dedup": op10_substring_dedup,
     "op11_secrets": op11_secrets,
     "op12_merkle": op12_merkle,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op12_merkle": MANIFEST_SQL, "op13_prefix_trie": TRIE_SQL}
