@@ -2,16 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from ledgerline.contracts import MONEY
 
 
-def round_money(c: Column) -> Column:
-    return F.round(c, 2).try_cast(MONEY)
-
-
 def round_money_sql(expression: str) -> str:
-    """The same rounding as SQL text, for projections written with lateral aliases."""
+    """The rounding as SQL text, for projections written with lateral aliases."""
     return f"try_cast(round({expression}, 2) as {MONEY})"

@@ -93,15 +93,15 @@ def identity_broken():
     )
 
 
-def identity_violation_count(gold: DataFrame) -> DataFrame:
-    """One row: number of rows breaking the funding identity.
+def identity_violated_sum():
+    """Aggregate: rows breaking the funding identity.
 
     A conditional sum rather than ``filter().count()``: a filter would be pushed down through the
     staged measure projections and inline the whole formula chain into one huge predicate.
     """
-    return gold.agg(F.coalesce(F.sum(F.when(identity_broken(), 1).otherwise(0)), F.lit(0)).alias("violations"))
+    return F.coalesce(F.sum(F.when(identity_broken(), 1).otherwise(0)), F.lit(0))
 
 
-def identity_violations(gold: DataFrame) -> DataFrame:
-    """The rows breaking the identity; meant for a persisted or written gold_funding."""
-    return gold.filter(identity_broken())
+def identity_violation_count(gold: DataFrame) -> DataFrame:
+    """One row: number of rows breaking the funding identity."""
+    return gold.agg(identity_violated_sum().alias("violations"))

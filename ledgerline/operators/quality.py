@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.contracts import MAX_EXCEPTION_RATIO, MAX_QUARANTINE_RATIO, MIN_FUNDING_RECORDS
-from ledgerline.operators.measures import identity_violation_count
+from ledgerline.operators.measures import identity_violated_sum, identity_violation_count
 from ledgerline.operators.validation import ERRORS
 
 
@@ -125,6 +125,94 @@ def quality_gates(
     return reduce(DataFrame.unionByName, gates)
 
 
+def ledger_counts(
+    tagged: dict[str, DataFrame], silver: dict[str, DataFrame], gold_funding: DataFrame, reconciliation: DataFrame
+) -> DataFrame:
+    """(name, n): every count that metrics, gates and output counts are made of, in one pass. Each frame is
+    aggregated once; what it counts is told apart by conditions, and the sums are unpivoted in the end."""
+    frames = {}
+    for kind in tagged:
+        good = F.col(ERRORS) == ""
+        frames[f"{kind} raw"] = tagged[kind].agg(F.count(F.lit(1)).alias(f"{kind}.input"), F.count_if(good).alias(f"{kind}.good"))
+        if kind != "funding":  # the latest funding rows are those of gold_funding
+            frames[f"{kind} silver"] = silver[kind].agg(F.count(F.lit(1)).alias(f"{kind}.valid"))
+    frames["gold"] = gold_funding.agg(F.count(F.lit(1)).alias("funding.valid"), identity_violated_sum().alias("funding.broken"))
+    by_vendor_day = reconciliation.groupBy("event_date", "vendor_id", "currency", "status").agg(F.count(F.lit(1)).alias("rows"))
+    month = F.struct(F.date_format(F.col("event_date").try_cast("date"), "yyyy-MM"), "vendor_id", "currency", "status")
+    frames["ledger"] = by_vendor_day.groupBy(month.alias("month")).agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("days"), F.max("status").alias("status")).agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("ledger.rows"),
+        F.coalesce(F.sum(F.when(F.col("status") != "MATCHED", F.col("rows"))), F.lit(0)).alias("ledger.exceptions"),
+        F.coalesce(F.sum("days"), F.lit(0)).alias("ledger.vendor_days"),
+        F.count(F.lit(1)).alias("ledger.vendor_months"),
+    )
+    parts = [f.select(F.explode(F.create_map(*(x for c in f.columns for x in (F.lit(c), F.col(f"`{c}`").cast("bigint"))))).alias("name", "n")) for f in frames.values()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _counted(counts: DataFrame) -> DataFrame:
+    """The counts as one row of a map."""
+    return counts.agg(F.map_from_entries(F.collect_list(F.struct("name", "n"))).alias("c"))
+
+
+def _unpivoted(counts: DataFrame, rows: list) -> DataFrame:
+    return _counted(counts).select(F.explode(F.array(*rows)).alias("x")).select("x.*")
+
+
+def metrics_of(counts: DataFrame, kinds: tuple[str, ...] = ("funding", "payouts")) -> DataFrame:
+    """Quality metrics (A9) from ``ledger_counts``."""
+    n = lambda name: F.col("c")[name]
+    rows = [
+        F.struct(
+            F.lit(k).alias("source"),
+            n(f"{k}.input").alias("input"),
+            n(f"{k}.valid").alias("valid"),
+            (n(f"{k}.input") - n(f"{k}.good")).alias("quarantined"),
+            (n(f"{k}.good") - n(f"{k}.valid")).alias("duplicate_versions"),
+        )
+        for k in kinds
+    ]
+    return _unpivoted(counts, rows)
+
+
+def gates_of(counts: DataFrame, policy: QualityPolicy | None = None, kinds: tuple[str, ...] = ("funding", "payouts")) -> DataFrame:
+    """The gate table (D8) from ``ledger_counts``."""
+    policy = policy or QualityPolicy()
+    n = lambda name: F.col("c")[name]
+    checks = []
+    for k in kinds:
+        quarantined, duplicates = n(f"{k}.input") - n(f"{k}.good"), n(f"{k}.good") - n(f"{k}.valid")
+        lost = n(f"{k}.input") - n(f"{k}.valid") - quarantined - duplicates
+        ratio = quarantined / F.greatest(n(f"{k}.input"), F.lit(1))
+        checks.append((f"{k}_count_conservation", lost, 0, lost == 0))
+        checks.append((f"{k}_quarantine_ratio", ratio, policy.max_quarantine_ratio, ratio <= policy.max_quarantine_ratio))
+    valid, broken = n("funding.valid"), n("funding.broken")
+    ratio = n("ledger.exceptions") / F.greatest(n("ledger.rows"), F.lit(1))
+    checks.append(("min_funding_records", valid, policy.min_funding_records, valid >= policy.min_funding_records))
+    checks.append(("funding_arithmetic_identity", broken, 0, broken == 0))
+    checks.append(("exception_ratio", ratio, policy.max_exception_ratio, ratio <= policy.max_exception_ratio))
+    rows = [
+        F.struct(F.lit(g).alias("gate"), o.cast("double").alias("observed"), F.lit(float(x)).alias("limit"), p.alias("passed")) for g, o, x, p in checks
+    ]
+    return _unpivoted(counts, rows)
+
+
+def output_counts_of(counts: DataFrame) -> DataFrame:
+    """Rows of every dataset (A10) from ``ledger_counts``."""
+    n = lambda name: F.col("c")[name]
+    thrown = sum((n(f"{k}.input") - n(f"{k}.good") for k in ("funding", "payouts")), F.lit(0))
+    sizes = {
+        "silver_funding": n("funding.valid"),
+        "silver_payouts": n("payouts.valid"),
+        "gold_funding": n("funding.valid"),
+        "gold_reconciliation": n("ledger.rows"),
+        "gold_vendor_summary": n("ledger.vendor_days"),
+        "gold_month_end": n("ledger.vendor_months"),
+        "exceptions": n("ledger.exceptions"),
+        "quarantine": thrown,
+    }
+    return _unpivoted(counts, [F.struct(F.lit(name).alias("dataset"), size.cast("bigint").alias("rows")) for name, size in sizes.items()])
+
+
 def enforce(gates: DataFrame) -> dict:
     """Raise ``QualityFailure`` if any gate failed; otherwise return the observed values."""
     rows = gates.collect()  # one row per gate: a fixed, small number

@@ -49,6 +49,11 @@ def latest(
     return picked.select("_best.row.*")
 
 
-def version_counts(df: DataFrame, key: str) -> DataFrame:
-    """Versions per key (only keys with more than one version)."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("versions")).filter(F.col("versions") > 1)
+def merged(previous: DataFrame, fresh: DataFrame, key: str, hash_columns: list[str] | tuple[str, ...]) -> DataFrame:
+    """The snapshot ``previous`` brought forward by ``fresh``, the latest rows of new drops: what ``latest`` over all
+    drops would give, whatever order drops come in. Only keys of ``fresh`` are ranked again, so late rows lose
+    against newer ones; all other rows pass through without a shuffle or a sort."""
+    touched = fresh.select(key)
+    known = previous.join(touched, key, "left_semi").select(*previous.columns)
+    ranked = latest(known.unionByName(fresh.select(*previous.columns)), key, hash_columns=hash_columns)
+    return previous.join(touched, key, "left_anti").select(*previous.columns).unionByName(ranked)

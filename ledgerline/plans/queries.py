@@ -6,6 +6,7 @@ Every query reads the driver tables (through the lineitem adapter) over their wh
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from ledgerline.contracts import FUNDING_FIELDS, PAYOUT_FIELDS
 from ledgerline.operators import reconcile as rec
 from ledgerline.operators import summaries as summ
 from ledgerline.operators.measures import identity_violation_count as violation_count
-from ledgerline.operators.quality import quality_gates, quality_metrics
+from ledgerline.operators import quality
 from ledgerline.operators.validation import ERRORS, quarantine, reason_counts
 from ledgerline.plans.adapted import adapted_ledger, gold_from_raw, raw_funding
 from ledgerline.plans.ledger import silver
@@ -142,14 +143,17 @@ def vendor_list(spark, sf_dir):
     return summ.vendor_list(_recon(spark, sf_dir))
 
 
-def metrics(spark, sf_dir):
+def _counts(spark, sf_dir):
     led = adapted_ledger(spark, sf_dir)
-    return quality_metrics(led.tagged, led.silver)
+    return quality.ledger_counts(led.tagged, led.silver, led.gold_funding, led.reconciliation)
+
+
+def metrics(spark, sf_dir):
+    return quality.metrics_of(_counts(spark, sf_dir))
 
 
 def gates(spark, sf_dir):
-    led = adapted_ledger(spark, sf_dir)
-    return quality_gates(quality_metrics(led.tagged, led.silver), led.gold_funding, led.reconciliation)
+    return quality.gates_of(_counts(spark, sf_dir))
 
 
 QUERIES: dict[str, Query] = {
@@ -198,7 +202,7 @@ HEALTH_NOW = "2001-11-05T12:00:00+00:00"
 AS_OF = "1998-06-30"
 PAGE = dict(status="MATCHED", page=3, size=25)
 SEARCH = "V000012"
-AFTER = ("F4504-5", "V000088", "MATCHED")  # an order key: record_id, vendor_id, status
+AFTER = dict(record_id="F4504-5", vendor_id="V000088", status="MATCHED")
 
 
 def _run_id(date_col, suffix: str):
@@ -271,12 +275,6 @@ def orphan_runs(spark, sf_dir):
     return ops.orphan_runs(_stamped_tables(spark, sf_dir), derived_audit(spark, sf_dir), ORPHAN_CUTOFF)
 
 
-def manifest_report(spark, sf_dir):
-    audit = derived_audit(spark, sf_dir)
-    latest = audit.agg(F.max("batch_date").alias("batch_date"))
-    return current_run(audit).join(latest, "batch_date", "left_semi").select(*audit.columns)
-
-
 def freshness(spark, sf_dir):
     return ops.freshness(derived_audit(spark, sf_dir), HEALTH_NOW)
 
@@ -290,7 +288,8 @@ def ledger_search_count(spark, sf_dir):
 
 
 def ledger_page_after(spark, sf_dir):
-    return reader.page_after(_recon(spark, sf_dir), AFTER, status="MATCHED", size=25)
+    rows = _recon(spark, sf_dir)
+    return reader.page_after(rows, cursor_behind(rows, **AFTER), status="MATCHED", size=25).drop("cursor")
 
 
 def quarantine_search(spark, sf_dir):
@@ -340,21 +339,12 @@ def replay_same(spark, sf_dir):
 
 
 def gate_alerts(spark, sf_dir):
-    from ledgerline.operators.quality import gate_alerts as alerts
-
-    led = adapted_ledger(spark, sf_dir)
-    m = quality_metrics(led.tagged, led.silver)
-    return alerts(quality_gates(m, led.gold_funding, led.reconciliation), m)
+    counts = _counts(spark, sf_dir)
+    return quality.gate_alerts(quality.gates_of(counts), quality.metrics_of(counts))
 
 
 def output_counts(spark, sf_dir):
-    from functools import reduce
-
-    from pyspark.sql import DataFrame as _DF
-
-    datasets = adapted_ledger(spark, sf_dir).datasets()
-    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("dataset"), "rows") for n, df in datasets.items()]
-    return reduce(_DF.unionByName, parts)
+    return quality.output_counts_of(_counts(spark, sf_dir))
 
 
 QUERIES.update(
@@ -364,7 +354,6 @@ QUERIES.update(
         "published_rows": published_rows,
         "orphan_rows": orphan_rows,
         "freshness": freshness,
-        "manifest_report": manifest_report,
         "ledger_page": ledger_page,
         "ledger_search_count": ledger_search_count,
         "record_drilldown": record_drilldown,
@@ -377,32 +366,236 @@ QUERIES.update(
 )
 
 
-def _row_fingerprints(drops):
-    """Per drop date: rows, and the sum of 32 bits of each row's digest (in any order)."""
-    text = F.concat_ws("|", *(F.coalesce(F.col(c), F.lit("~")) for c in FUNDING_FIELDS))
-    bits = F.conv(F.substring(F.sha2(text, 256), 1, 8), 16, 10).cast("bigint")
-    return drops.groupBy("batch_date").agg(F.count(F.lit(1)).alias("rows"), F.sum(bits).alias("digest"))
+# ---------------------------------------------------------------------------
+# Queries that write below the shared folder and read back.
+# ---------------------------------------------------------------------------
+from ledgerline.contracts import DATASETS, FIELDS, KEY  # noqa: E402
+from ledgerline.operators import pages  # noqa: E402
+from ledgerline.operators.pages import cursor_behind  # noqa: E402
+from ledgerline.operators.versions import merged  # noqa: E402
+from ledgerline.plans.broken import broken_funding, broken_payouts  # noqa: E402
+from ledgerline.plans.staged import publish_staged  # noqa: E402
+from ledgerline.sources import fingerprints as prints  # noqa: E402
+from ledgerline.sources import tables  # noqa: E402
+
+#: Ledgers that this application has published, by table folder and as-of date.
+_PUBLISHED: dict[tuple, tuple[str, dict]] = {}
+LAST_DAYS = ("1998-06-30", "1998-06-28", "1998-06-29")  # late days come after a newer one
+
+
+def _published_ledger(spark, sf_dir):
+    """The root of a ledger published from all drops, and its manifest; published once an application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PUBLISHED:
+        root = tables.scratch_root(spark)
+        raw = raw_funding(spark, sf_dir)
+        last = raw.agg(F.max("batch_date")).first()[0]
+        _PUBLISHED[key] = (root, publish_staged(spark, raw, payout_drops, root, last, run_id="first"))
+    return _PUBLISHED[key]
+
+
+def published_reconciliation(spark, sf_dir):
+    """The published run's reconciliation, read back by name."""
+    root, manifest = _published_ledger(spark, sf_dir)
+    return reader.dataset(spark, root, "gold_reconciliation", manifest["run_id"]).drop("policy_version")
+
+
+def published_view(spark, sf_dir):
+    """The same through the SQL view of the published run."""
+    root, _ = _published_ledger(spark, sf_dir)
+    tables.create_current_view(spark, root)
+    return spark.sql("SELECT status, count(*) AS rows, sum(variance) AS variance FROM current_reconciliation GROUP BY status")
+
+
+def published_counts(spark, sf_dir):
+    """Rows of every published dataset, with one policy version and batch date each."""
+    root, manifest = _published_ledger(spark, sf_dir)
+    audit = tables.read_audit(spark, root)
+    parts = []
+    for name in DATASETS:
+        rows = tables.published(tables.read_dataset(spark, root, name), audit)
+        lineage = [F.max(c).alias(c) for c in ("batch_date", "policy_version")]
+        counted = rows.agg(F.count(F.lit(1)).alias("rows"), *lineage, F.count("written_at").alias("stamped"))
+        parts.append(counted.select(F.lit(name).alias("dataset"), "*"))
+    return reduce(DataFrame.unionByName, parts)
 
 
-def source_fingerprint(spark, sf_dir):
-    return _row_fingerprints(raw_funding(spark, sf_dir))
+def manifest_report(spark, sf_dir):
+    """The typed report of the published run, from its audit row on disk."""
+    root, manifest = _published_ledger(spark, sf_dir)
+    report = ops.manifest_report(tables.read_audit(spark, root), manifest["batch_date"])
+    return report.drop("completed_at")
+
+
+#: A figure of each part of the audit document, and what a planted replay reports instead.
+PLANTED = {
+    "inputs": ("lineitem", "another"),
+    "content": (f"{AS_OF}/funding", "another"),
+    "metrics.funding": ("input", -1),
+    "metrics.payouts": ("quarantined", -2),
+    "output_counts": ("exceptions", -3),
+    "reconciliation": ("MATCHED", -4),
+    "totals": ("paid", "-5.00"),
+    "checksums": ("silver_payouts", "another"),
+}
 
 
-def source_changes(spark, sf_dir):
-    """Drop dates whose rows differ after a rule has changed some drops: a corrected quantity on
-    the 7th of a month, all rows of the 21st gone."""
+def replay_differences(spark, sf_dir):
+    """The published run against a replay that recorded one different figure of each kind."""
+    import json
+
+    root, manifest = _published_ledger(spark, sf_dir)
+    audit = tables.read_audit(spark, root).filter(F.col("run_id") == manifest["run_id"])
+    document = json.loads(audit.first()["quality_json"])  # one row
+    document["inputs"] = {"lineitem": "one", "parts": "same"}
+    replay = json.loads(json.dumps(document))
+    for path, (name, value) in PLANTED.items():
+        part = reduce(dict.__getitem__, path.split("."), replay)
+        part[name] = value
+    written = f"{tables.scratch_root(spark)}/audit"
+    rows = [(run, manifest["batch_date"], "SUCCEEDED", "", POLICY_VERSION, json.dumps(d)) for run, d in (("first", document), ("replay", replay))]
+    spark.createDataFrame(rows, tables.AUDIT_SCHEMA).write.parquet(written)
+    return ops.replay_differences(spark.read.parquet(written), "first", "replay")
+
+
+def latest_incremental(spark, sf_dir):
+    """Latest funding rows as of AS_OF: a snapshot without the last three days, then each of them brought in."""
     raw = raw_funding(spark, sf_dir)
+    first, rest = min(LAST_DAYS), tables.scratch_root(spark)
+    snapshot = silver(tag(raw.filter(F.col("batch_date") < first), "funding"), "funding")
+    for n, day in enumerate([None, *LAST_DAYS]):
+        if day is not None:
+            fresh = silver(tag(raw.filter(F.col("batch_date") == day), "funding"), "funding")
+            snapshot = merged(snapshot, fresh, KEY["funding"], FIELDS["funding"])
+        snapshot.write.parquet(f"{rest}/{n}")
+        snapshot = spark.read.parquet(f"{rest}/{n}")
+    return snapshot
+
+
+def _all_quarantine(spark, sf_dir):
+    led = adapted_ledger(spark, sf_dir)
+    return led.datasets()["quarantine"]
+
+
+def quarantine_page(spark, sf_dir):
+    """Page 30 of the quarantine, which has no order column, through its page directory."""
+    path = f"{tables.scratch_root(spark)}/quarantine"
+    pages.write_pages(_all_quarantine(spark, sf_dir), path, rows_per_range=200)
+    return pages.page_at(spark, path, 30, 25)
+
+
+def tied_pages(spark, sf_dir):
+    """All pages of a frame full of nulls and equal rows."""
+    path = f"{tables.scratch_root(spark)}/ties"
+    rows = _silver_payouts(spark, sf_dir).select("vendor_id", F.lit(None).cast("string").alias("status"), "event_date", F.col("reversal_of").isNull().alias("plain"))
+    pages.write_pages(rows, path, rows_per_range=5_000)
+    return pages.page_bounds(spark, path, 100)
+
+
+def quarantine_walk(spark, sf_dir):
+    """Four pages of the quarantine's funding rows, one after the other by cursor; all but the last are only passed."""
+    rows = quarantine(_tagged_funding(spark, sf_dir).filter(F.col(ERRORS) != ""), "funding")
+    after = None
+    for _ in range(3):
+        after = reader.page_after(rows, after, size=50).collect()[-1]["cursor"]  # one page
+    return reader.page_after(rows, after, size=50).drop("cursor")
+
+
+def _broken(spark, sf_dir):
+    """A ledger over drops that break every rule of the contract."""
+    raw = broken_funding(raw_funding(spark, sf_dir))
+    tagged_f, silver_f, gold = gold_from_raw(raw)
+    tagged_p = tag(broken_payouts(payout_drops(gold)), "payouts")
+    silver_p = silver(tagged_p, "payouts")
+    return {"funding": tagged_f, "payouts": tagged_p}, {"funding": silver_f, "payouts": silver_p}, gold, rec.reconcile(gold, silver_p, cross_date=True)
+
+
+def broken_reason_counts(spark, sf_dir):
+    """All 37 reasons."""
+    tagged, _, _, _ = _broken(spark, sf_dir)
+    parts = [reason_counts(tagged[kind]).select(F.lit(kind).alias("source_type"), "*") for kind in tagged]
+    return parts[0].unionByName(parts[1])
+
+
+def broken_gates(spark, sf_dir):
+    return quality.gates_of(quality.ledger_counts(*_broken(spark, sf_dir)))
+
+
+def broken_alerts(spark, sf_dir):
+    counts = quality.ledger_counts(*_broken(spark, sf_dir))
+    return quality.gate_alerts(quality.gates_of(counts), quality.metrics_of(counts))
+
+
+def broken_payouts_latest(spark, sf_dir):
+    """Latest payouts where a seventh of them has a corrected second version."""
+    _, latest_rows, _, _ = _broken(spark, sf_dir)
+    return latest_rows["payouts"]
+
+
+def _trees(spark, sf_dir):
+    """Hash trees of both sources, and of a changed state: quantities and amounts of the 7th of a month corrected, the rows
+    of the 21st gone. The trees are written, as a publication would."""
+    raw = {"funding": raw_funding(spark, sf_dir)}
+    _, _, gold = gold_from_raw(raw["funding"])
+    raw["payouts"] = payout_drops(gold)
     day = F.substring("batch_date", 9, 2)
-    changed = raw.filter(day != "21").withColumn("quantity", F.when(day == "07", F.lit("1")).otherwise(F.col("quantity")))
-    a = _row_fingerprints(raw).select("batch_date", F.col("rows").alias("rows_before"), F.col("digest").alias("before"))
-    b = _row_fingerprints(changed).select("batch_date", F.col("rows").alias("rows_after"), F.col("digest").alias("after"))
-    return a.join(b, "batch_date", "full").filter(~F.col("before").eqNullSafe(F.col("after")))
+    changed = {}
+    for kind, column, value in (("funding", "quantity", "1"), ("payouts", "amount", "1.00")):
+        changed[kind] = raw[kind].filter(day != "21").withColumn(column, F.when(day == "07", F.lit(value)).otherwise(F.col(column)))
+    root = tables.scratch_root(spark)
+    trees = []
+    for name, state in (("before", raw), ("after", changed)):
+        for kind in state:
+            prints.hash_tree(state[kind], kind).write.mode("append").parquet(f"{root}/{name}")
+        trees.append(spark.read.parquet(f"{root}/{name}"))
+    return raw, changed, *trees
+
+
+def source_fingerprint(spark, sf_dir):
+    raw = raw_funding(spark, sf_dir)
+    _, _, gold = gold_from_raw(raw)
+    trees = [prints.hash_tree(raw, "funding"), prints.hash_tree(payout_drops(gold), "payouts")]
+    return prints.day_digests(trees[0].unionByName(trees[1]))
+
+
+def source_changes(spark, sf_dir):
+    """Days of both sources that differ after the change."""
+    _, _, before, after = _trees(spark, sf_dir)
+    return prints.changed_days(before, after)
+
+
+def source_changed_buckets(spark, sf_dir):
+    _, _, before, after = _trees(spark, sf_dir)
+    return prints.changed_buckets(before, after)
+
+
+def source_changed_rows(spark, sf_dir):
+    """The rows behind it, found from the days down."""
+    raw, changed, before, after = _trees(spark, sf_dir)
+    buckets = prints.changed_buckets(before, after)
+    parts = [prints.changed_rows(raw[kind], changed[kind], buckets, kind) for kind in raw]
+    return parts[0].unionByName(parts[1])
 
 
 QUERIES.update(
     {
+        "published_reconciliation": published_reconciliation,
+        "published_view": published_view,
+        "published_counts": published_counts,
+        "manifest_report": manifest_report,
+        "replay_differences": replay_differences,
+        "latest_incremental": latest_incremental,
+        "quarantine_page": quarantine_page,
+        "tied_pages": tied_pages,
+        "quarantine_walk": quarantine_walk,
+        "broken_reason_counts": broken_reason_counts,
+        "broken_gates": broken_gates,
+        "broken_alerts": broken_alerts,
+        "broken_payouts_latest": broken_payouts_latest,
         "source_fingerprint": source_fingerprint,
         "source_changes": source_changes,
+        "source_changed_buckets": source_changed_buckets,
+        "source_changed_rows": source_changed_rows,
         "orphan_runs": orphan_runs,
         "ledger_page_after": ledger_page_after,
         "quarantine_search": quarantine_search,

@@ -94,12 +94,9 @@ def read_drops(spark: SparkSession, paths: list[str], kind: str) -> DataFrame:
     )
 
 
-def load_as_of(spark: SparkSession, root: str, as_of: str) -> tuple[DataFrame, DataFrame, list[str]]:
-    """(raw funding, raw payouts, selected day names) for the as-of snapshot."""
-    days = partitions(spark, root, as_of).orderBy("folder").collect()  # one row per day
-    funding = read_drops(spark, [r["funding"] for r in days], "funding")
-    payouts = read_drops(spark, [r["payouts"] for r in days], "payouts")
-    return funding, payouts, [r["folder"] for r in days]
+def selected_days(spark: SparkSession, root: str, as_of: str) -> list[tuple[str, str, str]]:
+    """(day, funding path, payouts path) of every selected day, oldest first; one row a day."""
+    return [tuple(r) for r in partitions(spark, root, as_of).orderBy("folder").collect()]
 
 
 def check_headers(files) -> None:
@@ -116,7 +113,7 @@ def check_headers(files) -> None:
             continue
         found = next(csv.reader([row["header"] or ""]), [])
         if found != list(FIELDS[kind]):
-            raise ContractError(f"schema/header does not match the contract: {row['key']} has {found}")
+            raise ContractError(f"{row['key']}: the header is {found}, the contract's fields are {list(FIELDS[kind])}")
 
 
 def contract_violation(error: Exception) -> bool:

@@ -11,6 +11,8 @@ readers only see runs that have a SUCCEEDED audit row (data first, audit row las
 from __future__ import annotations
 
 import json
+import tempfile
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,8 +53,36 @@ def with_lineage(df: DataFrame, run_id: str, batch_date: str) -> DataFrame:
     )
 
 
+def check_format(fmt: str) -> str:
+    if fmt not in ("parquet", "delta"):
+        raise ValueError(f"{fmt!r} is no format of the ledger's tables: parquet or delta")
+    return fmt
+
+
+def run_folder(root: str, name: str, run_id: str, batch_date: str) -> str:
+    return f"{table_path(root, name)}/batch_date={batch_date}/run_id={run_id}"
+
+
+def read_run(spark: SparkSession, root: str, name: str, run_id: str, batch_date: str) -> DataFrame:
+    """One run's rows of a Parquet dataset: only its own folder is listed and read."""
+    return spark.read.parquet(run_folder(root, name, run_id, batch_date))
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """A new folder below the shared one that the session names in spark.checkpoint.dir."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        shared = tempfile.mkdtemp(prefix="ledgerline-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return f"{shared.rstrip('/')}/ledger-{uuid.uuid4().hex}"
+
+
 def write_dataset(df: DataFrame, root: str, name: str, fmt: str = "parquet") -> None:
-    """Append one run's rows; the (batch_date, run_id) partition is new for every run."""
+    """Append one run's rows; the (batch_date, run_id) partition is new for every run, because ``commits.claim``
+    lets a run id be used once."""
+    check_format(fmt)
     df.write.format(fmt).mode("append").partitionBy("batch_date", "run_id").save(table_path(root, name))
 
 
@@ -60,7 +90,7 @@ def write_empty_run(df: DataFrame, root: str, name: str, run_id: str, batch_date
     """A run that wrote no rows to ``name`` still gets its partition folder with one schema-only
     file: a partitioned write of no rows creates no files, and a table holding only such runs
     could not be read. ``limit(0)`` plans as an empty relation, so nothing is recomputed."""
-    folder = f"{table_path(root, name)}/batch_date={batch_date}/run_id={run_id}"
+    folder = run_folder(root, name, run_id, batch_date)
     empty = with_lineage(df, run_id, batch_date).drop("batch_date", "run_id").limit(0)
     empty.coalesce(1).write.format(fmt).mode("append").save(folder)
 
