@@ -371,6 +371,7 @@ QUERIES.update(
 # ---------------------------------------------------------------------------
 from ledgerline.contracts import DATASETS, FIELDS, KEY  # noqa: E402
 from ledgerline.operators import pages  # noqa: E402
+from ledgerline.operators import search as text_search  # noqa: E402
 from ledgerline.operators.pages import cursor_behind  # noqa: E402
 from ledgerline.operators.versions import merged  # noqa: E402
 from ledgerline.plans.broken import broken_funding, broken_payouts  # noqa: E402
@@ -420,6 +421,31 @@ def published_counts(spark, sf_dir):
     return reduce(DataFrame.unionByName, parts)
 
 
+def published_drilldown(spark, sf_dir):
+    """All that the published run knows of its first record with a broken reversal. The id is a literal, so the
+    scans of the three datasets skip files and row groups by their sorted ids and bloom filters."""
+    root, _ = _published_ledger(spark, sf_dir)
+    ledger = reader.dataset(spark, root, "gold_reconciliation")
+    worst = ledger.filter(F.col("status") == "INVALID_REVERSAL").agg(F.min("record_id")).first()[0]
+    funding, payouts = (reader.dataset(spark, root, name) for name in ("gold_funding", "silver_payouts"))
+    return reader.record_drilldown(funding, ledger, payouts, worst)
+
+
+def indexed_search(spark, sf_dir):
+    """Rows of the published reconciliation that match a search, through the trigram index of its files."""
+    root, manifest = _published_ledger(spark, sf_dir)
+    folder = tables.run_folder(root, "gold_reconciliation", manifest["run_id"], manifest["batch_date"])
+    if not tables.exists(spark, text_search.index_path(folder)):
+        text_search.write_index(spark, folder)
+    return text_search.search(spark, folder, SEARCH).drop("written_at", "policy_version")
+
+
+def published_alerts(spark, sf_dir):
+    """The alerts of the published run, from their table."""
+    root, _ = _published_ledger(spark, sf_dir)
+    return ops.alerts_listing(tables.read_alerts(spark, root)).select("run_id", "batch_date", "severity", "category")
+
+
 def manifest_report(spark, sf_dir):
     """The typed report of the published run, from its audit row on disk."""
     root, manifest = _published_ledger(spark, sf_dir)
@@ -582,6 +608,9 @@ QUERIES.update(
         "published_reconciliation": published_reconciliation,
         "published_view": published_view,
         "published_counts": published_counts,
+        "published_drilldown": published_drilldown,
+        "published_alerts": published_alerts,
+        "indexed_search": indexed_search,
         "manifest_report": manifest_report,
         "replay_differences": replay_differences,
         "latest_incremental": latest_incremental,

@@ -37,6 +37,13 @@ ALERT_SCHEMA = StructType(
 )
 
 
+#: Datasets in which a record is looked up. Their files are sorted by the record and carry bloom filters of it, so a lookup of one
+#: id opens the row groups that may hold it: other files answer from their footer.
+LOOKED_UP = ("gold_funding", "gold_reconciliation", "silver_payouts")
+LOOKUP = "record_id"
+LOOKUP_GROUP_BYTES = 32 * 1024 * 1024
+
+
 def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/tables/{name}"
 
@@ -83,7 +90,10 @@ def write_dataset(df: DataFrame, root: str, name: str, fmt: str = "parquet") ->
     """Append one run's rows; the (batch_date, run_id) partition is new for every run, because ``commits.claim``
     lets a run id be used once."""
     check_format(fmt)
-    df.write.format(fmt).mode("append").partitionBy("batch_date", "run_id").save(table_path(root, name))
+    writer = (df.sortWithinPartitions(LOOKUP) if name in LOOKED_UP else df).write.format(fmt).mode("append")
+    if name in LOOKED_UP:
+        writer = writer.options(**{f"parquet.bloom.filter.enabled#{LOOKUP}": "true", "parquet.block.size": str(LOOKUP_GROUP_BYTES)})
+    writer.partitionBy("batch_date", "run_id").save(table_path(root, name))
 
 
 def write_empty_run(df: DataFrame, root: str, name: str, run_id: str, batch_date: str, fmt: str = "parquet") -> None:
@@ -95,6 +105,11 @@ def write_empty_run(df: DataFrame, root: str, name: str, run_id: str, batch_date
     empty.coalesce(1).write.format(fmt).mode("append").save(folder)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
