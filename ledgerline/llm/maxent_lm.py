@@ -27,6 +27,7 @@ table gives no rows. Only doc_id and text are read.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -52,6 +53,8 @@ RATE = 0.25
 BATCH = 8192
 BLOCK_ROWS = 2048
 FANIN = 16
+FEW = 32
+FAR = 60  # e ** -FAR is far above the least float
 CHUNK_WORDS = 1_000_000
 COUNT_WORDS = 400_000
 PAIR_BITS = 13
@@ -70,7 +73,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     common.prepare(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[bytes, int] = {}
+        counts: Counter[bytes] = Counter()
 
         def rows() -> pa.RecordBatch:
             columns = [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())]
@@ -78,12 +81,11 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             for text in common.texts(batch):
-                for w in words(text):
-                    counts[w] = counts.get(w, 0) + 1
-            counts[END] = counts.get(END, 0) + batch.num_rows
+                counts.update(words(text))
+            counts[END] += batch.num_rows
             if len(counts) > COUNT_WORDS:
                 yield rows()
-                counts = {}
+                counts = Counter()
         yield rows()
 
     counted = docs.select("text").mapInArrow(count, "word binary, n long")
@@ -110,7 +112,7 @@ def suffix_class(word: bytes) -> int:
 
 
 def unigrams(counts: DataFrame) -> Unigrams:
-    totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
+    sizes = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     ranked = counts.orderBy(F.desc("c"), "word").limit(KNOWN).collect()  # KNOWN words: bounded
     known = {bytes(r["word"]): r["c"] for r in ranked}
     frequent = [w for w in known if w != END][:TOP_WORDS]
@@ -128,7 +130,15 @@ def unigrams(counts: DataFrame) -> Unigrams:
     for r in sums.collect():
         mass[1 + TOP_WORDS + r["k"]] = r["m"]
     mass[UNSEEN] = SMOOTH
-    return Unigrams(totals["n"], totals["v"], top, known, np.log(mass / mass.sum()))
+    return Unigrams(sizes["n"], sizes["v"], top, known, np.log(mass / mass.sum()))
+
+
+class _Numbers(dict):
+    """Numbers for words in the order in which they are first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
 
 
 class Reader:
@@ -139,13 +149,11 @@ class Reader:
 
     def read(self, texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Distinct words, and for each token its word, its text, its class, its weight rows."""
-        number: dict[bytes, int] = {END: 0}
+        number = _Numbers({END: 0})
         at: list[int] = []
         sizes = []
         for text in texts:
             found = words(text)
-            for w in set(found).difference(number):
-                number[w] = len(number)
             at += map(number.__getitem__, found)
             at.append(0)
             sizes.append(len(found) + 1)
@@ -178,45 +186,64 @@ class Reader:
 
 
 def energies(weights: np.ndarray, base: Unigrams, rows: np.ndarray) -> np.ndarray:
-    """Log P(class | context) of each token's context, up to a constant a token (largest: 0)."""
-    z = weights[rows[:, 0]]
+    """Log P(class | context) of each token's context, up to a constant a token (that is small enough to take powers of)."""
+    z = np.take(weights, rows[:, 0], axis=0, mode="clip")
+    more = np.empty_like(z)
     for f in range(1, rows.shape[1]):
-        z += weights[rows[:, f]]
+        z += np.take(weights, rows[:, f], axis=0, mode="clip", out=more)
     z += base.class_log.astype(np.float32)
-    z -= z.max(axis=1, keepdims=True)
+    top = z.max(initial=0)
+    if z[:, 1].min(initial=top) > top - FAR:  # no token's largest is far below the batch's
+        z -= top
+    else:
+        z -= z.max(axis=1, keepdims=True)
     return z
 
 
+def totals(powers: np.ndarray) -> np.ndarray:
+    """The sum of each row."""
+    return powers @ np.ones(powers.shape[1], powers.dtype)
+
+
 def class_logs(weights: np.ndarray, base: Unigrams, rows: np.ndarray) -> np.ndarray:
     """Natural log of P(class | context) of each token's context."""
     z = energies(weights, base, rows)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
+    z -= np.log(totals(np.exp(z)))[:, None]
     return z
 
 
 def row_sums(rows: np.ndarray, slope: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct ``rows`` (of one feature, so few enough to sort as 16 bits), and each one's sum
-    of ``slope``."""
-    low = rows.min()
-    order = np.argsort((rows - low).astype(np.uint16), kind="stable")  # a radix sort
-    line, held = rows[order], slope[order]
+    """The distinct ``rows`` (of one feature, so few enough to sort as 16 bits), and each one's sum of ``slope``. Rows
+    of up to FEW tokens are summed together, a token of each at a time; the others one by one."""
+    order = np.argsort((rows - rows.min()).astype(np.uint16), kind="stable")  # a radix sort
+    line = rows[order]
     heads = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
-    if 8 * len(heads) > len(line):
-        return line[heads], np.add.reduceat(held, heads, axis=0)
-    ends = [*heads[1:].tolist(), len(line)]  # many tokens a row: one sum for each is faster
-    return line[heads], np.stack([held[a:b].sum(axis=0) for a, b in zip(heads.tolist(), ends, strict=True)])
+    sizes = np.diff(heads, append=len(line))
+    found = np.take(slope, order[heads], axis=0, mode="clip")
+    for i in np.flatnonzero(sizes > FEW).tolist():
+        found[i] = slope[order[heads[i] : heads[i] + sizes[i]]].sum(axis=0)
+    open_ = np.flatnonzero((sizes > 1) & (sizes <= FEW))
+    k = 1
+    while len(open_):
+        found[open_] += np.take(slope, order[heads[open_] + k], axis=0, mode="clip")
+        k += 1
+        open_ = open_[sizes[open_] > k]
+    return line[heads], found
 
 
 def descend(weights: np.ndarray, power: np.ndarray, base: Unigrams, rows: np.ndarray, classes: np.ndarray) -> None:
     """One mini-batch step with per-row adaptive rates, on all rows that the batch uses."""
     slope = energies(weights, base, rows)
     np.exp(slope, out=slope)
-    slope /= slope.sum(axis=1, keepdims=True)
+    slope /= totals(slope)[:, None]
     slope[np.arange(len(classes)), classes] -= 1
     for f in range(rows.shape[1]):
         used, grad = row_sums(rows[:, f], slope)
-        power[used] += np.einsum("ij,ij->i", grad, grad)
-        weights[used] -= RATE * grad / np.sqrt(power[used] + 1)[:, None]
+        force = power[used] + np.einsum("ij,ij->i", grad, grad)
+        power[used] = force
+        grad *= (-RATE / np.sqrt(force + 1))[:, None]
+        grad += np.take(weights, used, axis=0, mode="clip")
+        weights[used] = grad
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
@@ -312,7 +339,7 @@ def score(docs: DataFrame, counts: DataFrame, base: Unigrams, weights: np.ndarra
                     z = energies(weights, base, rows[part])
                     mine = classes[part]
                     own, other = z[np.arange(len(mine)), mine], z[:, UNSEEN].copy()
-                    total = np.log(np.exp(z, out=z).sum(axis=1))
+                    total = np.log(totals(np.exp(z, out=z)))
                     seen[part] = (own - total - base.class_log[mine]) / log10
                     unseen[part] = (other - total - base.class_log[UNSEEN]) / log10
             count = np.array([base.known.get(w, -1) for w in names])[word]
