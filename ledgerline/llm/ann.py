@@ -17,9 +17,10 @@ block and chunk is one task, and a query's answers from all blocks are merged. R
 against brute force in the tests and stays above 0.9 on nearly random vectors, the hardest case.
 
 Defined cases: vectors that are null, empty, zero, or hold a null or non-finite number take no
-part; vectors of different lengths are not compared; ties go to the smaller vec_id; a query's own
-vec_id is never its answer; rows of a repeated vec_id are each candidates; an empty table gives no
-rows. Only vec_id and embedding are read.
+part, nor do rows without vec_id; vectors of different lengths are not compared; ties go to the smaller
+vec_id. A query's own row is never its answer: the row with its vec_id and vector, and of several such rows one. Other
+rows of a repeated vec_id are candidates. Each query row has answers of its own: a vec_id that occurs twice among
+the queries has two rankings under one query_id. An empty table gives no rows. Only vec_id and embedding are read.
 """
 
 from __future__ import annotations
@@ -134,39 +135,42 @@ def nearest(
     """query_id, rank (from 1), vec_id, score: each query's ``top`` nearest of ``vectors``."""
     spark = vectors.sparkSession
     common.prepare(spark)
-    rows, asked = usable(vectors), usable(queries)
+    rows, asked = usable(vectors), usable(queries).withColumn("ask", F.monotonically_increasing_id())
     blocks = max(1, -(-rows.count() // BLOCK))
     chunks = max(1, -(-asked.count() // CHUNK), -(-spark.sparkContext.defaultParallelism // blocks))
     place = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
-    part = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(chunks)).cast("int")
+    part = F.pmod(F.xxhash64("ask"), F.lit(chunks)).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))
     each = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     length = F.size("embedding").alias("dim")
     dealt = rows.select(length, place.alias("block"), every.alias("chunk"), "vec_id", "embedding")
-    asked = asked.select(length, each.alias("block"), part.alias("chunk"), "vec_id", "embedding")
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+    asked = asked.select(length, each.alias("block"), part.alias("chunk"), "ask", "vec_id", "embedding")
+    schema = pa.schema([("ask", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = [], [], []
+        out = [], [], [], []
         if len(left) and len(right):
             ids = left.column("vec_id").to_numpy()
             lines = Lines(_matrix(left.column("embedding")), projections, threshold, confidence)
             sort = np.argsort(ids, kind="stable")
             sorted_ids = ids[sort]
-            for query_id, query in zip(right.column("vec_id").to_pylist(), _matrix(right.column("embedding")), strict=True):
-                own = sort[np.searchsorted(sorted_ids, query_id, "left") : np.searchsorted(sorted_ids, query_id, "right")]
+            asks = zip(right.column("ask").to_pylist(), right.column("vec_id").to_pylist(), _matrix(right.column("embedding")), strict=True)
+            for ask, query_id, query in asks:
+                same = sort[np.searchsorted(sorted_ids, query_id, "left") : np.searchsorted(sorted_ids, query_id, "right")]
+                own = same[(lines.vectors[same] == query).all(axis=1)][:1]
                 found, scores = lines.search(query, own, top)
                 best = np.lexsort((ids[found], -scores))[:top]
-                out[0].append(np.full(len(best), query_id))
-                out[1].append(ids[found[best]])
-                out[2].append(scores[best])
+                out[0].append(np.full(len(best), ask))
+                out[1].append(np.full(len(best), query_id))
+                out[2].append(ids[found[best]])
+                out[3].append(scores[best])
         arrays = [pa.array(np.concatenate(x) if x else [], f.type) for x, f in zip(out, schema, strict=True)]
         return pa.Table.from_arrays(arrays, schema=schema)
 
     keys = ("dim", "block", "chunk")
     pairs = dealt.groupBy(*keys).cogroup(asked.groupBy(*keys))
-    found = pairs.applyInArrow(search, "query_id long, vec_id long, score double")
-    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = pairs.applyInArrow(search, "ask long, query_id long, vec_id long, score double")
+    ranked = Window.partitionBy("ask").orderBy(F.desc("score"), "vec_id")
     found = found.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= top)
     return found.select("query_id", "rank", "vec_id", "score")
 

@@ -60,4 +60,9 @@ def test_odd_vectors(spark):
     frame = spark.createDataFrame([(i, v, "b", 1) for i, v in rows], "vec_id long, embedding array<double>, block string, dim int")
     got = ann.nearest(frame, frame.filter("vec_id % 20 = 0")).orderBy("query_id", "rank").collect()
     assert [(r["query_id"], r["vec_id"]) for r in got] == [(20, 1), (20, 2), (20, 2), (40, 9)]
+    twice = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (20, [0.0, 1.0]), (3, [2.0, 1.0])]  # the middle rows are equal
+    frame = spark.createDataFrame(twice, "vec_id long, embedding array<double>")
+    got = ann.nearest(frame, frame.filter("vec_id = 20")).orderBy("query_id", "rank", "vec_id", "score").collect()
+    by_rank = [sorted((r["vec_id"], r["score"]) for r in got if r["rank"] == k) for k in (1, 2, 3)]
+    assert by_rank == [[(3, 1.0), (3, 1.0), (3, 2.0)], [(20, 0.0), (20, 1.0), (20, 1.0)], [(20, 0.0)] * 3]
     assert ann.nearest(frame.limit(0), frame.limit(0)).count() == 0
