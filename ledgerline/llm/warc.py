@@ -14,8 +14,8 @@ offset and length. ``lookup`` binary-searches the directory, reads the blocks' b
 then the records' byte ranges, all through Spark's own file systems.
 
 Defined cases: null html is an empty payload; a null url has the key ``)/`` of an empty host; a
-page_id that repeats is written once for each row (equal ids and payloads: one of them by hash
-order is the response); null page_ids are written with an empty id and read back as null, and
+page_id that repeats is written once for each row (equal ids and payloads: one of them, by hash of the url and
+then by place in the scan, is the response, the others revisit it); null page_ids are written with an empty id and read back as null, and
 refer or are referred to like a page of largest id. An empty table gives no files and no rows.
 """
 
@@ -138,14 +138,14 @@ def members(content: bytes) -> Iterator[tuple[int, int, bytes]]:
 def with_types(pages: DataFrame, min_bytes: int) -> DataFrame:
     """page_id, url, body (binary), sha (hex SHA-1), n_bytes, refers_to (null for responses; text)."""
     body = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    rows = pages.select(F.col("page_id").cast("long"), "url", body.alias("body"))
+    rows = pages.select(F.col("page_id").cast("long"), "url", body.alias("body"), F.monotonically_increasing_id().alias("at"))
     rows = rows.withColumns({"sha": F.sha1("body"), "n_bytes": F.octet_length("body").cast("long")})
     last = F.lit(2**63 - 1)
-    place = F.struct(F.coalesce("page_id", last).alias("p"), F.xxhash64("url").alias("u"))
+    place = F.struct(F.coalesce("page_id", last).alias("p"), F.xxhash64("url").alias("u"), F.col("at").alias("r"))  # r: tells equal rows apart
     # Partial sums leave one row a digest and task; only shared digests stay. A digest that very
     # many pages share is split by Spark's skew join: the other side is one row.
-    groups = rows.select("sha", "n_bytes", place.alias("at")).filter(F.col("n_bytes") >= min_bytes)
-    groups = groups.groupBy("sha").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    groups = rows.select("sha", "n_bytes", place.alias("place")).filter(F.col("n_bytes") >= min_bytes)
+    groups = groups.groupBy("sha").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     # Written first: where few digests are shared, Spark sees a small table and moves no page.
     groups = common.materialize(groups.select("sha", "first"), "shared-payloads")
     joined = rows.join(groups, "sha", "left")
