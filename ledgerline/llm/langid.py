@@ -25,8 +25,10 @@ from ledgerline.llm import common
 
 UNDETERMINED = "und"
 FOLDS = 5
-#: The fit reads at most this many texts of a language (those of least hash), so it is bounded.
+#: The fit reads at most this many texts of a language, so it is bounded: each of FIT_BUCKETS ranges of text hashes offers
+#: its least hash, and of these the least are taken.
 FIT_DOCS = 400
+FIT_BUCKETS = 4096
 #: Bytes of a dictionary and of a text's block; the level of compression.
 DICT_BYTES = 96 * 1024
 BLOCK_BYTES = 4096
@@ -65,12 +67,14 @@ def dictionary(texts: list[str], size: int = DICT_BYTES) -> bytes:
 def fit(docs: DataFrame, fit_docs: int = FIT_DOCS) -> list[tuple[str, int, bytes]]:
     """(language, training rows, dictionary) of ``docs`` (text, lang). The number of languages is
     that of the label set; each brings at most ``fit_docs`` texts to the driver."""
-    rows = docs.filter("text is not null and lang is not null and length(text) >= 40")
+    rows = docs.filter("text is not null and lang is not null")
     rows = rows.select("lang", "text", F.xxhash64("text").alias("h"))
     totals = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    # Hashes first: each task keeps its least ones of a language, and only the chosen texts travel.
-    least = Window.partitionBy("lang").orderBy("h")
-    chosen = rows.select("lang", "h").distinct().withColumn("place", F.row_number().over(least))
+    # Hashes first, and only the chosen texts travel. A language brings a row a bucket and task before its buckets
+    # are dealt, and FIT_BUCKETS rows to the ranking, whatever share of the rows it holds.
+    buckets = rows.groupBy("lang", F.pmod("h", F.lit(FIT_BUCKETS)).alias("bucket")).agg(F.min("h").alias("h"))
+    least = Window.partitionBy("lang").orderBy(F.xxhash64("h"))
+    chosen = buckets.select("lang", "h").withColumn("place", F.row_number().over(least))
     chosen = chosen.filter(F.col("place") <= fit_docs).drop("place")
     picked = rows.join(F.broadcast(chosen), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text"))
     texts: dict[str, list[str]] = {lang: [] for lang in totals}

@@ -47,3 +47,12 @@ def test_odd_rows(spark):
     assert langid.predict(docs_frame(spark, []), models).count() == 0
     empty = spark.createDataFrame([], "text string, lang string")
     assert langid.fit(empty) == []
+
+
+def test_short_and_repeated_texts_are_learnt(spark):
+    rows = [("kurz ja", "de")] * 500 + [(f"short no {i}", "en") for i in range(3)] + [("", "xx"), (None, "yy"), ("x", None)]
+    models = langid.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert [(lang, n) for lang, n, _ in models] == [("de", 500), ("en", 3), ("xx", 1)]
+    assert langid.Classifier(models[:2]).predict("kurz ja", 0.01)[0] == "de"
+    many = spark.range(20_000).selectExpr("concat('text number ', id) AS text", "'en' AS lang")
+    assert 0 < len(langid.fit(many, fit_docs=50)[0][2]) < 50 * 40
