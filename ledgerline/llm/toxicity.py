@@ -307,15 +307,15 @@ class Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, landmarks: int = LANDMARKS) -> Model:
-    """Model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic); at most ``fit_rows`` rows."""
+    """Model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic); at most ``fit_rows`` rows: a label id brings
+    one text, of several that of least hash."""
     spark = docs.sparkSession
     common.prepare(spark)
     rows = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
-    sample = common.materialize(
-        docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id").repartition(F.xxhash64("doc_id") % 64),
-        "toxicity-sample",
-    )
+    sample = docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id").groupBy("doc_id", "toxic")
+    sample = sample.agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("least")).select("doc_id", "least.text", "toxic")
+    sample = common.materialize(sample.repartition(F.xxhash64("doc_id") % 64), "toxicity-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

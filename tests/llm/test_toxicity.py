@@ -80,3 +80,16 @@ def test_odd_rows_and_missing_classes(spark):
             assert {r["found"] for r in got} == {constant}
     empty = docs_frame(spark, [])
     assert toxicity.score(empty, toxicity.fit(empty, labels), ["doc_id"]).count() == 0
+
+
+def test_the_fit_is_bounded_in_rows(spark, monkeypatch):
+    from ledgerline.llm import common
+
+    seen, plain = [], common.materialize
+    monkeypatch.setattr(common, "materialize", lambda df, name: seen.append(plain(df, name)) or seen[-1])
+    rows = [(1, f"text {i % 9}") for i in range(2000)] + [(i, "you idiot" if i % 2 else "good day") for i in range(2, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 40)], "doc_id long, toxic int")
+    toxicity.fit(docs, labels, fit_rows=10)
+    toxicity.fit(docs, labels, fit_rows=39)
+    assert [s.count() for s in seen] == [10, 39]
