@@ -10,7 +10,6 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -132,15 +131,3 @@ def read_blobs(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "length", "content")
     )
-
-
-def rows_to_batches(rows: Iterable[dict], schema: pa.Schema, size: int = 2000) -> Iterator[pa.RecordBatch]:
-    """Pack dict rows into Arrow batches."""
-    pending: list[dict] = []
-    for row in rows:
-        pending.append(row)
-        if len(pending) >= size:
-            yield pa.RecordBatch.from_pylist(pending, schema)
-            pending = []
-    if pending:
-        yield pa.RecordBatch.from_pylist(pending, schema)

@@ -57,12 +57,6 @@ def test_planted_leaks_and_nothing_else(spark):
         assert edits == plain_distance(items[i], split[d]) <= D.SHARE * len(items[i])
 
 
-def test_repetitions_reach_the_recall():
-    rnd = random.Random(9)
-    index = D.Index([(i, " ".join(text(rnd, 40, 60))) for i in range(50)], D.SHARE, D.RECALL)
-    assert index.measured >= D.RECALL or len(index.repetitions) == D.MOST_REPETITIONS
-
-
 def test_the_recall_is_required(monkeypatch):
     rnd = random.Random(9)
     for size, words in ((40, 60), (20, 10), (60, 3)):
