@@ -126,25 +126,28 @@ def quality_gates(
 
 
 def ledger_counts(
-    tagged: dict[str, DataFrame], silver: dict[str, DataFrame], gold_funding: DataFrame, reconciliation: DataFrame
+    tagged: dict[str, DataFrame], silver: dict[str, DataFrame], gold_funding: DataFrame | None = None, reconciliation: DataFrame | None = None
 ) -> DataFrame:
     """(name, n): every count that metrics, gates and output counts are made of, in one pass. Each frame is
-    aggregated once; what it counts is told apart by conditions, and the sums are unpivoted in the end."""
+    aggregated once; what it counts is told apart by conditions, and the sums are unpivoted in the end. Without the gold
+    frames it has the counts of the metrics alone."""
     frames = {}
     for kind in tagged:
         good = F.col(ERRORS) == ""
         frames[f"{kind} raw"] = tagged[kind].agg(F.count(F.lit(1)).alias(f"{kind}.input"), F.count_if(good).alias(f"{kind}.good"))
-        if kind != "funding":  # the latest funding rows are those of gold_funding
+        if kind != "funding" or gold_funding is None:  # the latest funding rows are those of gold_funding
             frames[f"{kind} silver"] = silver[kind].agg(F.count(F.lit(1)).alias(f"{kind}.valid"))
-    frames["gold"] = gold_funding.agg(F.count(F.lit(1)).alias("funding.valid"), identity_violated_sum().alias("funding.broken"))
-    by_vendor_day = reconciliation.groupBy("event_date", "vendor_id", "currency", "status").agg(F.count(F.lit(1)).alias("rows"))
-    month = F.struct(F.date_format(F.col("event_date").try_cast("date"), "yyyy-MM"), "vendor_id", "currency", "status")
-    frames["ledger"] = by_vendor_day.groupBy(month.alias("month")).agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("days"), F.max("status").alias("status")).agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("ledger.rows"),
-        F.coalesce(F.sum(F.when(F.col("status") != "MATCHED", F.col("rows"))), F.lit(0)).alias("ledger.exceptions"),
-        F.coalesce(F.sum("days"), F.lit(0)).alias("ledger.vendor_days"),
-        F.count(F.lit(1)).alias("ledger.vendor_months"),
-    )
+    if gold_funding is not None:
+        frames["gold"] = gold_funding.agg(F.count(F.lit(1)).alias("funding.valid"), identity_violated_sum().alias("funding.broken"))
+    if reconciliation is not None:
+        by_vendor_day = reconciliation.groupBy("event_date", "vendor_id", "currency", "status").agg(F.count(F.lit(1)).alias("rows"))
+        month = F.struct(F.date_format(F.col("event_date").try_cast("date"), "yyyy-MM"), "vendor_id", "currency", "status")
+        frames["ledger"] = by_vendor_day.groupBy(month.alias("month")).agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("days"), F.max("status").alias("status")).agg(
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("ledger.rows"),
+            F.coalesce(F.sum(F.when(F.col("status") != "MATCHED", F.col("rows"))), F.lit(0)).alias("ledger.exceptions"),
+            F.coalesce(F.sum("days"), F.lit(0)).alias("ledger.vendor_days"),
+            F.count(F.lit(1)).alias("ledger.vendor_months"),
+        )
     parts = [f.select(F.explode(F.create_map(*(x for c in f.columns for x in (F.lit(c), F.col(f"`{c}`").cast("bigint"))))).alias("name", "n")) for f in frames.values()]
     return reduce(DataFrame.unionByName, parts)
 

@@ -149,7 +149,8 @@ def _counts(spark, sf_dir):
 
 
 def metrics(spark, sf_dir):
-    return quality.metrics_of(_counts(spark, sf_dir))
+    led = adapted_ledger(spark, sf_dir)
+    return quality.metrics_of(quality.ledger_counts(led.tagged, led.silver))
 
 
 def gates(spark, sf_dir):
