@@ -8,15 +8,23 @@ enough to be read whole. Each blob ends with an empty member, whose last byte is
 ``common.write_blobs``); readers of WARC skip it.
 
 Index. One pass over the archives gives a line for each record: reversed-host key, page_id, file,
-offset, length. Lines are range-sorted by key and cut into blocks of ``BLOCK_LINES``, each a gzip
-member in an index file. The directory keeps one row for each block: its first and last key, file,
-offset and length. ``lookup`` binary-searches the directory, reads the blocks' byte ranges, and
-then the records' byte ranges, all through Spark's own file systems.
+offset, length. Lines are range-sorted by key, then by page_id and place, so that a URL with very many
+captures spreads over ranges, and cut into blocks of ``BLOCK_LINES``, each a gzip member in an index
+file. The directory keeps one row for each block: its first and last key, file, offset and length,
+sorted by key.
+
+Reading. ``lookup`` takes a table of URLs. Their distinct keys are range-sorted; a task reads the
+directory rows between its least and greatest key, and a binary search finds each key's blocks. Every
+such block's byte range is read once for its keys, another binary search finds their lines, and the
+records' byte ranges are read, neighbours in one read. Only keys and lines are shuffled, no page.
+Ranges are read inside tasks through Arrow's file systems (``file:``, ``hdfs:``, ``s3a:``, ``gs:``).
 
 Defined cases: null html is an empty payload; a null url has the key ``)/`` of an empty host; a
 page_id that repeats is written once for each row (equal ids and payloads: one of them, by hash of the url and
 then by place in the scan, is the response, the others revisit it); null page_ids are written with an empty id and read back as null, and
-refer or are referred to like a page of largest id. An empty table gives no files and no rows.
+refer or are referred to like a page of largest id. An empty table gives no files and no rows. A lookup
+of a URL that was not captured gives no row, of one that is asked for twice its captures once; a null URL
+asks for the captures without URL. URLs of equal key are one URL to the index.
 """
 
 from __future__ import annotations
@@ -28,9 +36,10 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterator
-from urllib.parse import urlsplit
+from urllib.parse import quote, urlsplit
 
 import pyarrow as pa
+from pyarrow import dataset, fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +48,11 @@ from ledgerline.llm import common
 BLOB_BYTES = 4 << 20
 BLOBS_PER_FILE = 4
 BLOCK_LINES = 3000
+#: Keys searched in the directory at a time.
+SEARCH_KEYS = 20_000
+#: Bytes of an archive read at once, and the most bytes between two records that are read in one go.
+READ_BYTES = 4 << 20
+GAP_BYTES = 64 << 10
 LEVEL = 6
 DATE = "2024-01-01T00:00:00Z"
 _EMPTY = gzip.compress(b"", mtime=0)
@@ -57,6 +71,11 @@ def capture_key(url: str | None) -> str:
     return ",".join(reversed(host.split("."))) + suffix + ")" + (parts.path or "/").lower() + query.lower()
 
 
+def target_uri(url: str | None) -> str:
+    """A URL as records hold it: white space and control characters are percent-encoded."""
+    return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url or "")
+
+
 def digest_base32(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
@@ -66,13 +85,12 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: str
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {n_bytes}\r\n\r\n".encode()
     block = http + payload if refers_to is None else http
     shown = "" if page_id is None else str(page_id)
-    target = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url or "")
     lines = [
         "WARC/1.1",
         f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
         f"WARC-Record-ID: <urn:page:{shown}>",
         f"WARC-Date: {DATE}",
-        f"WARC-Target-URI: {target}",
+        f"WARC-Target-URI: {target_uri(url)}",
         f"WARC-Payload-Digest: sha1:{digest}",
         f"X-Payload-Length: {n_bytes}",
         "Content-Type: application/http; msgtype=response",
@@ -206,7 +224,8 @@ def build_index(spark: SparkSession, archives: str, index: str, block_lines: int
     for each block (first, last, file, offset, length), also kept below ``index``/directory."""
     common.prepare(spark)
     lines = common.materialize(capture_lines(spark, archives), "capture-lines")
-    ordered = lines.repartitionByRange("key").sortWithinPartitions("key", "page_id", "file", "offset")
+    order = ["key", "page_id", "file", "offset"]
+    ordered = lines.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[str] = []
@@ -239,7 +258,8 @@ def build_index(spark: SparkSession, archives: str, index: str, block_lines: int
 
     kinds = "first string, last string, file string, offset long, length long"
     found = common.read_blobs(spark, f"{index}/blocks").select("path", "content").mapInArrow(directory, kinds)
-    found.write.parquet(f"{index}/directory")
+    found = common.materialize(found, "block-directory")
+    found.repartitionByRange("first", "last").sortWithinPartitions("first", "last").write.parquet(f"{index}/directory")
     return spark.read.parquet(f"{index}/directory")
 
 
@@ -248,89 +268,156 @@ _DIRECTORY = pa.schema(
 )
 
 
-def _block_lines(data: bytes) -> Iterator[dict]:
-    for line in data.decode().split("\n"):
-        key, page, offset, length, file = line.split(" ", 4)
-        yield {
-            "key": key,
-            "page_id": int(page) if page else None,
-            "offset": int(offset),
-            "length": int(length),
-            "file": file,
-        }
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its file system, which a task cannot know."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(target).toString()
+
+
+def store(path: str) -> tuple[fs.FileSystem, str]:
+    """Arrow's file system and path for a Hadoop path with its scheme."""
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), re.sub("^file:/+", "/", path)
+    return fs.FileSystem.from_uri(quote(re.sub("^s3[an]://", "s3://", path), safe="/:@"))
+
+
+def _blocks_of(keys: list[str], directory: pa.Table) -> Iterator[dict]:
+    """The blocks that may hold ``keys`` (ascending), each with those of them, by binary search."""
+    rows = directory.sort_by([("first", "ascending"), ("last", "ascending")]).to_pylist()
+    firsts, lasts = [r["first"] for r in rows], [r["last"] for r in rows]
+    asked: dict[int, list[str]] = {}
+    for key in keys:
+        for at in range(bisect.bisect_left(lasts, key), bisect.bisect_right(firsts, key)):
+            asked.setdefault(at, []).append(key)
+    for at, held in asked.items():
+        yield {k: rows[at][k] for k in ("file", "offset", "length")} | {"keys": held}
+
+
+def _lines_of(keys: list[str], block: bytes) -> Iterator[dict]:
+    """The lines of ``keys`` in a block, by binary search."""
+    lines = [line.split(" ", 4) for line in block.decode().split("\n")]
+    held = [line[0] for line in lines]
+    for key in keys:
+        for _, _, offset, length, file in lines[bisect.bisect_left(held, key) : bisect.bisect_right(held, key)]:
+            yield {"file": file, "offset": int(offset), "length": int(length)}
+
+
+def _runs(spans: list[dict]) -> Iterator[list[dict]]:
+    """Spans of a file in ascending order, grouped into ranges to be read at once."""
+    run: list[dict] = []
+    for span in spans:
+        if run:
+            end = run[-1]["offset"] + run[-1]["length"]
+            near = span["file"] == run[0]["file"] and 0 <= span["offset"] - end <= GAP_BYTES
+            if not near or span["offset"] + span["length"] - run[0]["offset"] > READ_BYTES:
+                yield run
+                run = []
+        run.append(span)
+    if run:
+        yield run
+
+
+class Ranges:
+    """Byte ranges of files; the last file stays open."""
+
+    def __init__(self) -> None:
+        self.path, self.file = "", None
+
+    def read(self, path: str, offset: int, length: int) -> bytes:
+        if path != self.path:
+            self.close()
+            place, inner = store(path)
+            self.path, self.file = path, place.open_input_file(inner)
+        return self.file.read_at(length, offset)
+
+    def close(self) -> None:
+        if self.file is not None:
+            self.file.close()
+
+
+_SPAN = pa.schema([("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64())])
+_RECORD = pa.schema(
+    [("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())]
+    + [("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary())]
+)
 
 
-def range_read(spark: SparkSession, file: str, offset: int, length: int) -> bytes:
-    """``length`` bytes of ``file`` from ``offset``, through Spark's file systems."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(file)
-    stream = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(target)
-    try:
-        stream.seek(offset)
-        return bytes(stream.readNBytes(length))
-    finally:
-        stream.close()
-
-
-def lookup(spark: SparkSession, index: str, url: str) -> list[dict]:
-    """All records of one URL: the directory rows that can hold its key (a pushed-down range filter,
-    then binary search), those blocks' ranges, and the records' ranges."""
-    key = capture_key(url)
-    near = spark.read.parquet(f"{index}/directory").filter((F.col("first") <= key) & (F.col("last") >= key))
-    blocks = sorted(near.collect(), key=lambda r: (r["first"], r["file"], r["offset"]))
-    found = []
-    for block in blocks:
-        data = zlib.decompress(range_read(spark, block["file"], block["offset"], block["length"]), 31)
-        lines = list(_block_lines(data))
-        keys = [x["key"] for x in lines]
-        for line in lines[bisect.bisect_left(keys, key) : bisect.bisect_right(keys, key)]:
-            member = range_read(spark, line["file"], line["offset"], line["length"])
-            found.append(parse(zlib.decompress(member, 31)))
-    return found
-
-
-def read_captures(spark: SparkSession, archives: str, index: str) -> DataFrame:
-    """All records, by way of the index: its blocks are read, their captures grouped by archive
-    file, and each capture's byte range cut from its file. page_id, url, record_type, refers_to,
-    payload_bytes, payload_digest."""
+def captures_of(urls: DataFrame, index: str) -> DataFrame:
+    """file, offset, length of every record of the URLs in column ``url``, through the directory."""
+    spark = urls.sparkSession
     common.prepare(spark)
+    directory = qualified(spark, f"{index}/directory")
 
-    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64())])
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch.column("content"):
-                for _, _, data in members(content.as_py()):
-                    rows = [{k: x[k] for k in ("file", "offset", "length")} for x in _block_lines(data)]
-                    yield pa.RecordBatch.from_pylist(rows, schema)
-
-    captures = common.read_blobs(spark, f"{index}/blocks").select("content")
-    captures = captures.mapInArrow(lines, "file string, offset long, length long")
-    spans = captures.groupBy("file").agg(F.collect_list(F.struct("offset", "length")).alias("spans"))
-    files = common.read_blobs(spark, archives).select(F.col("path").alias("file"), "content")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest")
-        kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string())
-        schema = pa.schema(list(zip(names, kinds, strict=True)))
+            yield pa.RecordBatch.from_pydict({"key": [capture_key(target_uri(u)) for u in batch.column("url").to_pylist()]})
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, inner = store(directory)
+        rows = dataset.dataset(inner, filesystem=place, format="parquet", schema=_DIRECTORY)
+
+        def search(keys: list[str]) -> Iterator[pa.RecordBatch]:
+            near = (dataset.field("last") >= keys[0]) & (dataset.field("first") <= keys[-1])
+            found = list(_blocks_of(keys, rows.to_table(filter=near, use_threads=False)))
+            yield from pa.Table.from_pylist(found, _SPAN.append(pa.field("keys", pa.list_(pa.string())))).to_batches()
+
+        held: list[str] = []
         for batch in batches:
-            for content, spans in zip(batch.column("content"), batch.column("spans").to_pylist(), strict=True):
-                view = memoryview(content.as_buffer())
-                rows = []
-                for span in sorted(spans, key=lambda s: s["offset"]):
-                    found = parse(zlib.decompress(view[span["offset"] : span["offset"] + span["length"]], 31))
-                    rows.append({k: found[k] for k in names})
-                    if len(rows) == 2000:
-                        yield pa.RecordBatch.from_pylist(rows, schema)
-                        rows = []
-                yield pa.RecordBatch.from_pylist(rows, schema)
+            held += batch.column("key").to_pylist()
+            if len(held) >= SEARCH_KEYS:
+                yield from search(held)
+                held = []
+        if held:
+            yield from search(held)
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranges = Ranges()
+        for batch in batches:
+            for block in batch.to_pylist():
+                data = zlib.decompress(ranges.read(block["file"], block["offset"], block["length"]), 31)
+                yield pa.RecordBatch.from_pylist(list(_lines_of(block["keys"], data)), _SPAN)
+        ranges.close()
+
+    keys = urls.select("url").mapInArrow(keyed, "key string").distinct()
+    ordered = keys.repartitionByRange("key").sortWithinPartitions("key")
+    found = ordered.mapInArrow(blocks, "file string, offset long, length long, keys array<string>")
+    dealt = found.repartition("file", "offset").sortWithinPartitions("file", "offset")
+    return dealt.mapInArrow(lines, "file string, offset long, length long")
+
 
+def lookup(urls: DataFrame, index: str) -> DataFrame:
+    """page_id, url, record_type, refers_to, payload_bytes, payload_digest, payload (empty for revisits) of
+    every record of the URLs in column ``url``."""
+
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranges = Ranges()
+        for batch in batches:
+            for run in _runs(batch.to_pylist()):
+                start, end = run[0]["offset"], run[-1]["offset"] + run[-1]["length"]
+                data = ranges.read(run[0]["file"], start, end - start)
+                found, size = [], 0
+                for span in run:
+                    at = span["offset"] - start
+                    found.append(parse(zlib.decompress(data[at : at + span["length"]], 31)))
+                    size += found[-1]["payload_bytes"]
+                    if size >= READ_BYTES:
+                        yield pa.RecordBatch.from_pylist(found, _RECORD)
+                        found, size = [], 0
+                yield pa.RecordBatch.from_pylist(found, _RECORD)
+        ranges.close()
+
+    near = F.floor(F.col("offset") / F.lit(READ_BYTES))
+    spans = captures_of(urls, index).repartition("file", near).sortWithinPartitions("file", "offset")
     kinds = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string"
-    return files.join(spans.hint("shuffle_hash"), "file").select("content", "spans").mapInArrow(cut, kinds)
+    return spans.mapInArrow(records, f"{kinds}, payload binary")
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to of every page, read back."""
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of every page, read back by looking up
+    the URLs of all pages."""
     archives, index = common.scratch_path(spark, "warc"), common.scratch_path(spark, "warc-index")
-    write_archives(common.table(spark, sf_dir, "pages"), archives)
+    pages = common.table(spark, sf_dir, "pages")
+    write_archives(pages, archives)
     build_index(spark, archives, index)
-    found = read_captures(spark, archives, index)
+    found = lookup(pages, index)
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

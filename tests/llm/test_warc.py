@@ -44,8 +44,8 @@ def plain(rows, min_bytes=0):
 
 def test_records_read_back(spark):
     for min_bytes in (0, 5):
-        archives, index = written(spark, PAGES, min_bytes)
-        got = warc.read_captures(spark, archives, index).collect()
+        _, index = written(spark, PAGES, min_bytes)
+        got = warc.lookup(frame(spark, PAGES), index).collect()
         found = {r["page_id"]: (r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in got}
         assert len(got) == len(PAGES) and found == plain(PAGES, min_bytes)
 
@@ -57,15 +57,40 @@ def test_files_are_plain_warc(spark):
         assert data.startswith(b"WARC/1.1\r\n") and data.endswith(b"\r\n\r\n")
 
 
+def asked(spark, index, urls):
+    return warc.lookup(spark.createDataFrame([(u, 1) for u in urls], "url string, key int"), index).collect()
+
+
 def test_lookup_by_url(spark):
     many = [(i, f"http://site{i % 7}.example/{i}", f"body {i}") for i in range(60)]
     _, index = written(spark, many, lines=5)
-    for i in (0, 13, 59):
-        hit = warc.lookup(spark, index, many[i][1])
-        assert [(r["page_id"], r["payload"].decode()) for r in hit] == [(i, f"body {i}")]
-    assert warc.lookup(spark, index, "http://nowhere.example/") == []
+    urls = [many[i][1] for i in (0, 13, 59, 13)] + ["http://nowhere.example/"]
+    found = {(r["page_id"], bytes(r["payload"]).decode()) for r in asked(spark, index, urls)}
+    assert found == {(i, f"body {i}") for i in (0, 13, 59)}
+    assert len(asked(spark, index, urls)) == 3 and asked(spark, index, []) == []
     _, index = written(spark, PAGES, lines=2)
-    assert {r["page_id"] for r in warc.lookup(spark, index, "http://example.org/a?x=1")} == {3, 9}
+    assert {r["page_id"] for r in asked(spark, index, ["http://example.org/a?x=1"])} == {3, 9}
+
+
+def test_lookup_writes_urls_as_records_do(spark):
+    _, index = written(spark, [(1, "http://a/b c", "x"), (2, "http://a/\td", "y"), (3, None, "z"), (4, "http://a/", "w")])
+    assert {r["page_id"] for r in asked(spark, index, ["http://a/b c", "http://a/\td", None])} == {1, 2, 3}
+
+
+def test_url_with_captures_in_many_blocks(spark):
+    rows = [(i, "http://hot/" if i % 3 else f"http://host{i}/", f"body {i}") for i in range(200)]
+    _, index = written(spark, rows, lines=3)
+    found = asked(spark, index, ["http://hot/", "http://host3/"])
+    assert sorted(r["page_id"] for r in found) == sorted([3, *(i for i in range(200) if i % 3)])
+
+
+def test_searches_read_only_what_may_hold_the_keys():
+    blocks = [("a", "c"), ("c", "c"), ("c", "f"), ("h", "k")]
+    rows = [{"first": x, "last": y, "file": "f", "offset": i, "length": 1} for i, (x, y) in enumerate(blocks)]
+    got = warc._blocks_of(["b", "c", "g", "h"], warc.pa.Table.from_pylist(rows, warc._DIRECTORY))
+    assert {r["offset"]: r["keys"] for r in got} == {0: ["b", "c"], 1: ["c"], 2: ["c"], 3: ["h"]}
+    spans = [{"file": f, "offset": o, "length": 10} for f, o in [("x", 0), ("x", 10), ("x", 10**6), ("y", 0)]]
+    assert [len(run) for run in warc._runs(spans)] == [2, 1, 1]
 
 
 def test_keys():
@@ -75,8 +100,9 @@ def test_keys():
 
 
 def test_repeated_rows_and_empty_table(spark):
-    archives, index = written(spark, [(1, "http://a/", "x"), (1, "http://a/", "x")])
-    got = [(r["record_type"], r["refers_to"]) for r in warc.read_captures(spark, archives, index).collect()]
+    same = [(1, "http://a/", "x"), (1, "http://a/", "x")]
+    _, index = written(spark, same)
+    got = [(r["record_type"], r["refers_to"]) for r in warc.lookup(frame(spark, same), index).collect()]
     assert sorted(got, key=str) == [("response", None), ("revisit", 1)]
-    archives, index = written(spark, [])
-    assert warc.read_captures(spark, archives, index).count() == 0 and warc.lookup(spark, index, "http://a/") == []
+    _, index = written(spark, [])
+    assert warc.lookup(frame(spark, same), index).count() == 0
