@@ -53,6 +53,8 @@ SEARCH_KEYS = 20_000
 #: Bytes of an archive read at once, and the most bytes between two records that are read in one go.
 READ_BYTES = 4 << 20
 GAP_BYTES = 64 << 10
+#: Bytes of records that a reading task takes, about.
+TASK_BYTES = 64 << 20
 LEVEL = 6
 DATE = "2024-01-01T00:00:00Z"
 _EMPTY = gzip.compress(b"", mtime=0)
@@ -406,8 +408,12 @@ def lookup(urls: DataFrame, index: str) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(found, _RECORD)
         ranges.close()
 
+    # The lines say how much is to be read; their own size, by which Spark would coalesce tasks, does not.
+    spans = common.materialize(captures_of(urls, index), "captures")
+    size = spans.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = max(urls.sparkSession.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
     near = F.floor(F.col("offset") / F.lit(READ_BYTES))
-    spans = captures_of(urls, index).repartition("file", near).sortWithinPartitions("file", "offset")
+    spans = spans.repartition(tasks, "file", near).sortWithinPartitions("file", "offset")
     kinds = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string"
     return spans.mapInArrow(records, f"{kinds}, payload binary")
 
