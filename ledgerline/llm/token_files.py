@@ -4,16 +4,17 @@ Documents are range-partitioned and sorted by ``doc_id``, encoded, and their ids
 sequences of ``seq_len``. Each file is one Arrow IPC stream with two columns:
 
 - ``ids``: ``fixed_size_list<uint16|uint32>[seq_len]``
-- ``mask``: ``fixed_size_list<bool>[seq_len]``; false only on the padding after a file's last id
+- ``mask``: ``fixed_size_list<uint8>[seq_len]``; 0 only on the padding after a file's last id, else 1
+  (bytes, because Arrow packs Booleans into bits, which numpy can't view)
 
 The schema's metadata hold the file's place in the global order (``part``, ``seq``) and its
 documents (``doc_ids``, ``lengths``). Every sequence has the same length, so a reader finds id
-``k`` of a file at sequence ``k // seq_len`` without scanning, and ``TokenFile`` slices the file's
-own buffer without a copy.
+``k`` of a file at sequence ``k // seq_len`` without scanning, and ``TokenFile`` slices ids and masks
+out of the file's own buffer without a copy.
 
 Defined cases: a null text is empty (its ids are the end id alone); a null ``doc_id`` sorts first;
-rows of equal ``doc_id`` are each written, ordered by a hash of their text; an empty table gives no
-files and no rows. Only ``doc_id`` and ``text`` are read, so other columns may have any name.
+rows of equal ``doc_id`` are each written, ordered by a hash of their text, and however many they are,
+they spread over ranges; an empty table gives no files and no rows. Only ``doc_id`` and ``text`` are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -123,8 +124,8 @@ def stream_file(ids: np.ndarray, docs: list[int], lengths: list[int], seq_len: i
     rows = -(-len(ids) // seq_len)
     padded = np.zeros(rows * seq_len, ids.dtype)
     padded[: len(ids)] = ids
-    mask = np.zeros(rows * seq_len, bool)
-    mask[: len(ids)] = True
+    mask = np.zeros(rows * seq_len, np.uint8)
+    mask[: len(ids)] = 1
     columns = [
         pa.FixedSizeListArray.from_arrays(pa.array(padded), seq_len),
         pa.FixedSizeListArray.from_arrays(pa.array(mask), seq_len),
@@ -150,17 +151,17 @@ class TokenFile:
         self.n_ids, self.part, self.seq = (int(meta[k]) for k in (b"n_ids", b"part", b"seq"))
         self.doc_ids = np.frombuffer(meta[b"doc_ids"], "<i8")
         self.lengths = np.frombuffer(meta[b"lengths"], "<i8")
-        self._ids, self._mask = batch.column(0), batch.column(1)
-        self.flat = self._ids.values.to_numpy(zero_copy_only=True)
+        self.rows = len(batch)
+        self.flat, self.flat_mask = (batch.column(i).values.to_numpy(zero_copy_only=True) for i in (0, 1))
 
     def __len__(self) -> int:
-        return len(self._ids)
+        return self.rows
 
     def sequence(self, i: int) -> np.ndarray:
         return self.flat[i * self.seq_len : (i + 1) * self.seq_len]
 
     def mask(self, i: int) -> np.ndarray:
-        return self._mask.values.slice(i * self.seq_len, self.seq_len).to_numpy(zero_copy_only=False)
+        return self.flat_mask[i * self.seq_len : (i + 1) * self.seq_len]
 
 
 def write_token_files(
@@ -208,11 +209,9 @@ def write_token_files(
         if ids:
             yield closed()
 
-    ordered = (
-        docs.select(F.col("doc_id").cast("long"), "text")
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions(F.col("doc_id"), F.xxhash64("text"))
-    )
+    rows = docs.select(F.col("doc_id").cast("long"), "text", F.monotonically_increasing_id().alias("place"))
+    order = [F.col("doc_id"), F.xxhash64("text"), F.col("place")]  # place: ranges split equal rows too
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     common.write_blobs(ordered.mapInArrow(encode, "blob binary"), path)
 
 
@@ -247,7 +246,8 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 def with_starts(documents: DataFrame) -> DataFrame:
     """Add ``start``: ids of all documents before it. Sums are taken per file, then per part; only
-    one row for each part meets in one task."""
+    one row for each part meets in one task. The starts are written first: Spark then knows that theirs is
+    the smaller side of the join, and broadcasts them only where their size allows it."""
     files = documents.groupBy("part", "seq").agg(F.sum("n_tokens").alias("ids"))
     inside = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     parts = files.groupBy("part").agg(F.sum("ids").alias("ids"))
@@ -255,6 +255,7 @@ def with_starts(documents: DataFrame) -> DataFrame:
     parts = parts.select("part", F.coalesce(F.sum("ids").over(across), F.lit(0)).alias("part_start"))
     files = files.select("part", "seq", F.coalesce(F.sum("ids").over(inside), F.lit(0)).alias("file_start"))
     starts = files.join(parts, "part").select("part", "seq", (F.col("part_start") + F.col("file_start")).alias("base"))
+    starts = common.materialize(starts, "token-file-starts")
     return documents.join(starts, ["part", "seq"]).withColumn("start", F.col("base") + F.col("first"))
 
 

@@ -52,6 +52,20 @@ def test_sequences_are_views_of_the_file():
     buffer = pa.py_buffer(blob)
     file = token_files.TokenFile(buffer)
     assert len(file) == 3 and file.sequence(1).tolist() == [4, 5, 6, 7]
-    assert file.mask(2).tolist() == [True, True, False, False]
-    inside = file.sequence(2).__array_interface__["data"][0] - buffer.address
-    assert 0 < inside < len(blob)  # no copy
+    assert file.mask(2).tolist() == [1, 1, 0, 0]
+    for view in (file.sequence(2), file.mask(2)):
+        inside = view.__array_interface__["data"][0] - buffer.address
+        assert 0 < inside < len(blob)  # no copy
+
+
+def test_equal_ids_spread_over_files(spark):
+    docs = docs_frame(spark, [(7, "x y")] * 300 + [(None, "same")] * 300)
+    path = common.scratch_path(spark, "t9")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # it joins ranges as small as these
+    token_files.write_token_files(docs.repartition(4), path)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    documents = common.materialize(token_files.read_documents(spark, path), "t9")
+    assert documents.count() == 600 and documents.select("part").distinct().count() > 2
+    got = token_files.with_starts(documents).orderBy("start").collect()
+    assert [r["doc_id"] for r in got] == [None] * 300 + [7] * 300
+    assert all(b["start"] == a["start"] + a["n_tokens"] for a, b in zip(got, got[1:]))
