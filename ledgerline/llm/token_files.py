@@ -4,13 +4,13 @@ Documents are range-partitioned and sorted by ``doc_id``, encoded, and their ids
 sequences of ``seq_len``. Each file is one Arrow IPC stream with two columns:
 
 - ``ids``: ``fixed_size_list<uint16|uint32>[seq_len]``
-- ``mask``: ``fixed_size_list<uint8>[seq_len]``; 0 only on the padding after a file's last id, else 1
-  (bytes, because Arrow packs Booleans into bits, which numpy can't view)
+- ``mask``: ``fixed_size_list<bool>[seq_len]``, a bit for each id; false only on the padding after a
+  file's last id
 
 The schema's metadata hold the file's place in the global order (``part``, ``seq``) and its
 documents (``doc_ids``, ``lengths``). Every sequence has the same length, so a reader finds id
-``k`` of a file at sequence ``k // seq_len`` without scanning, and ``TokenFile`` slices ids and masks
-out of the file's own buffer without a copy.
+``k`` of a file at sequence ``k // seq_len`` without scanning, and ``TokenFile`` slices ids (as numpy
+views) and masks (as Arrow views, because numpy has no bits) out of the file's own buffer without a copy.
 
 Defined cases: a null text is empty (its ids are the end id alone); a null ``doc_id`` sorts first;
 rows of equal ``doc_id`` are each written, ordered by a hash of their text, and however many they are,
@@ -124,8 +124,8 @@ def stream_file(ids: np.ndarray, docs: list[int], lengths: list[int], seq_len: i
     rows = -(-len(ids) // seq_len)
     padded = np.zeros(rows * seq_len, ids.dtype)
     padded[: len(ids)] = ids
-    mask = np.zeros(rows * seq_len, np.uint8)
-    mask[: len(ids)] = 1
+    mask = np.zeros(rows * seq_len, bool)
+    mask[: len(ids)] = True
     columns = [
         pa.FixedSizeListArray.from_arrays(pa.array(padded), seq_len),
         pa.FixedSizeListArray.from_arrays(pa.array(mask), seq_len),
@@ -152,7 +152,8 @@ class TokenFile:
         self.doc_ids = np.frombuffer(meta[b"doc_ids"], "<i8")
         self.lengths = np.frombuffer(meta[b"lengths"], "<i8")
         self.rows = len(batch)
-        self.flat, self.flat_mask = (batch.column(i).values.to_numpy(zero_copy_only=True) for i in (0, 1))
+        self.flat = batch.column(0).values.to_numpy(zero_copy_only=True)
+        self.flat_mask = batch.column(1).values
 
     def __len__(self) -> int:
         return self.rows
@@ -160,8 +161,8 @@ class TokenFile:
     def sequence(self, i: int) -> np.ndarray:
         return self.flat[i * self.seq_len : (i + 1) * self.seq_len]
 
-    def mask(self, i: int) -> np.ndarray:
-        return self.flat_mask[i * self.seq_len : (i + 1) * self.seq_len]
+    def mask(self, i: int) -> pa.BooleanArray:
+        return self.flat_mask.slice(i * self.seq_len, self.seq_len)
 
 
 def write_token_files(
