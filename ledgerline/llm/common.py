@@ -6,10 +6,13 @@ local-mode session without that setting gets a folder of its own.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -114,6 +117,21 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [x or "" for x in batch.column(column).to_pylist()]
 
 
+def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``work`` as a task's function that hands freed memory back to the system when it ends. Spark keeps a Python
+    worker for later tasks, and without this the worker keeps the most that any of its tasks has held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if trim:
+            trim(0)
+
+    return run
+
+
 # Blob files. Spark's text writer appends ``lineSep`` to each row. A blob whose last byte is NUL is
 # written without that byte, and the separator NUL puts it back. So any binary format whose blobs
 # end in NUL is written byte for byte by Spark's own committed writer, to any Hadoop store.

@@ -315,7 +315,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, share: float = SHARE, recall: f
             if ids:
                 yield rows(ids, hashed, held)
 
-        part = needed.mapInArrow(search, ", ".join(f"{n} long" for n in names))
+        part = needed.mapInArrow(common.tidy(search), ", ".join(f"{n} long" for n in names))
         found = part if found is None else found.unionAll(part)
     return found
 

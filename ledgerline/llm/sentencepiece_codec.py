@@ -295,7 +295,7 @@ def encode(docs: DataFrame, model: str | None = None) -> DataFrame:
         coder.cache = {}  # the worker may go on with other work
 
     needed = docs.select(F.col("doc_id").cast("long"), "text")
-    return needed.mapInArrow(run, "doc_id long, text string, piece_ids array<int>")
+    return needed.mapInArrow(common.tidy(run), "doc_id long, text string, piece_ids array<int>")
 
 
 def decode(coded: DataFrame, model: str | None = None) -> DataFrame:
@@ -327,7 +327,7 @@ def decode(coded: DataFrame, model: str | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     types = "doc_id long, text string, piece_ids array<int>, decoded string, n_pieces long, n_byte_pieces long, ids_crc32 long"
-    return coded.select("doc_id", "text", "piece_ids").mapInArrow(run, types)
+    return coded.select("doc_id", "text", "piece_ids").mapInArrow(common.tidy(run), types)
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

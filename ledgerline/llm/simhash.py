@@ -76,7 +76,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     needed = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
-    return needed.mapInArrow(run, "doc_id long, text_hash long, fp long")
+    return needed.mapInArrow(common.tidy(run), "doc_id long, text_hash long, fp long")
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -218,7 +218,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, group: int = GROUP) -> DataF
             code, key = np.concatenate(codes), np.concatenate(rows)
             yield found(code, np.cumsum(np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)])))
 
-    return dealt.mapInArrow(run, "u long, v long")
+    return dealt.mapInArrow(common.tidy(run), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:

@@ -331,8 +331,8 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["doc", "mark", "start", "words"])
 
     segs = docs.select(*_identity(), "text")
-    dealt = segs.mapInArrow(cut, "bucket int, blob binary").repartitionById(parts, "bucket")
-    return dealt.mapInArrow(match, "doc long, mark long, start long, words long")
+    dealt = segs.mapInArrow(common.tidy(cut), "bucket int, blob binary").repartitionById(parts, "bucket")
+    return dealt.mapInArrow(common.tidy(match), "doc long, mark long, start long, words long")
 
 
 def _identity() -> tuple[F.Column, F.Column]:
@@ -369,7 +369,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*columns, pa.array(kept, pa.string())], names=["row", "n_words", "n_removed", "kept"])
 
     kind = rows.schema["row"].dataType.simpleString()
-    return joined.mapInArrow(drop, f"row {kind}, n_words long, n_removed long, kept string")
+    return joined.mapInArrow(common.tidy(drop), f"row {kind}, n_words long, n_removed long, kept string")
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -333,7 +333,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, landmarks:
     n, t = sizes["n"], sizes["t"]
     if t == 0 or t == n:
         return Model(None, None, t / n if n else 0.0)
-    counted = sample.mapInArrow(count, "unit string, n long, t long").groupBy("unit").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+    counted = sample.mapInArrow(common.tidy(count), "unit string, n long, t long").groupBy("unit").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
     expected = F.col("n") * F.lit(t / n)
     gain = (F.col("t") - expected) / F.sqrt(expected + 1)
     top = counted.filter(F.length("unit") >= ORDER + 1).orderBy(gain.desc(), "unit").limit(CANDIDATES).collect()
@@ -350,7 +350,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, landmarks:
             yield pa.RecordBatch.from_arrays(columns, names=["x", "toxic"])
         shared.value.forget()
 
-    got = sample.mapInArrow(turn, "x array<double>, toxic long").toPandas()  # fit_rows x features
+    got = sample.mapInArrow(common.tidy(turn), "x array<double>, toxic long").toPandas()  # fit_rows x features
     return Model(marks, train(np.stack(got["x"].to_numpy()), got["toxic"].to_numpy() > 0), t / n)
 
 
@@ -386,7 +386,7 @@ def score(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
 
     needed = docs.select(F.struct(*(docs[c] for c in carry)).alias("row"), F.col("text").alias("body"))
     kind = needed.schema["row"].dataType.simpleString()
-    return needed.mapInArrow(run, f"row {kind}, score double")
+    return needed.mapInArrow(common.tidy(run), f"row {kind}, score double")
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
