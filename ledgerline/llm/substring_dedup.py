@@ -47,7 +47,7 @@ WINDOW = 20
 #: Words that a task takes at a time; documents are never split.
 CHUNK_WORDS = 500_000
 #: Bytes of text whose segments a task compares, on average.
-BUCKET_BYTES = 16_000_000
+BUCKET_BYTES = 8_000_000
 NULL_DOC = -(2**63)
 _C1, _C2, _C3 = (np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 _MOST = ~np.uint64(0)
