@@ -15,7 +15,8 @@ is the largest for which every window of distinct neighbours holds such a symbol
 Every window picks, of the borders that depend on its own words alone, the one of least key; equal
 windows pick the same border. Neighbouring windows with the same border form a segment. Segments
 are dealt by their border's key, so equal windows meet in one task, which compares them by their
-hashes (the key and 40 more bits) in (doc_id, text hash, start) order. A window without such a border (inside
+64-bit hashes (of the key and 40 more bits) in (doc_id, text hash, start) order; their words are not
+compared again. A window without such a border (inside
 long runs of one word) is dealt by its own hash.
 
 Volume: a task first drops segments that repeat within its own chunk of documents, so a passage
