@@ -2,14 +2,17 @@
 
 Tokens are the words of the lower-cased (A-Z) text and one end. The softmax is factored by class:
 
-    P(w | context) = P(class(w) | context) * p(w) / p(class(w))
+    P(w | context) = P(class(w) | context) * P(member(w) | class(w), context) * p(w) / p(member(w))
 
 ``p`` is the smoothed unigram distribution of the training tokens (count + 0.1 over their sum).
 Classes are the end, the ``TOP_WORDS`` most frequent words one by one, the other words by a hash of
-their last letters, and one class for all words never seen. ``P(class | context)`` is a softmax
-over sums of weight rows, one row for each feature of the context, found by hashing: the last word,
+their last letters, and one class for all words never seen. A class of last letters has ``MEMBERS``
+members: its most frequent words one by one, and all its other words as the last member, inside which the
+unigram shares hold. The other classes have one member. Both factors are softmaxes over sums of weight
+rows, one row for each feature of the context, found by hashing. Features of the class: the last word,
 the last two words, the word before the last (a skip), the classes of the last two, and the class
-of the third last (a skip). Without weights it equals ``p(class)``, so the model starts at the
+of the third last (a skip). Features of the member: the last two words, and the last word, each with the class.
+Without weights the factors equal ``p(class)`` and ``p(member) / p(class)``, so the model starts at the
 unigram base and its probabilities sum to one.
 
 Training is distributed gradient descent. In each round every task starts from the shared weights,
@@ -47,6 +50,8 @@ SUFFIX_BYTES = 3
 CLASSES = 1 + TOP_WORDS + SUFFIX_CLASSES + 1
 UNSEEN = CLASSES - 1
 START = CLASSES  # the class before a text's first word, in features only
+MEMBERS = CLASSES  # so one table holds the weight rows of both factors
+OTHERS = MEMBERS - 1  # the member of all words of a class that are no member alone
 KNOWN = 200_000
 ROUNDS = 1
 RATE = 0.25
@@ -59,9 +64,11 @@ CHUNK_WORDS = 1_000_000
 COUNT_WORDS = 400_000
 PAIR_BITS = 13
 WORD_ROWS, PAIR_ROWS = 4096, 1 << PAIR_BITS  # powers of two
-_SIZES = (WORD_ROWS, PAIR_ROWS, WORD_ROWS, (CLASSES + 1) ** 2, CLASSES + 1)
-_BASES = np.concatenate([[0], np.cumsum(_SIZES)])
+_SIZES = (WORD_ROWS, PAIR_ROWS, WORD_ROWS, (CLASSES + 1) ** 2, CLASSES + 1)  # features of the class
+_MEMBER_SIZES = (PAIR_ROWS, PAIR_ROWS)  # features of the member
+_BASES = np.concatenate([[0], np.cumsum(_SIZES + _MEMBER_SIZES)])
 ROWS = int(_BASES[-1])
+_MIX = np.uint64(0x165667B19E3779F9)
 
 
 def words(text: str) -> list[bytes]:
@@ -94,13 +101,15 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 @dataclass
 class Unigrams:
-    """What tasks know of the counts: totals, the classes' shares, and the most frequent words."""
+    """What tasks know of the counts: totals, the shares of classes and members, and the most frequent words."""
 
     tokens: int
     distinct: int
     top: dict[bytes, int]  # class of the most frequent words and of the end
     known: dict[bytes, int]  # count of the KNOWN most frequent words
     class_log: np.ndarray  # natural log of p(class)
+    member: dict[bytes, int]  # place in its class of each word that is a member alone
+    member_log: np.ndarray  # natural log of p(member) / p(class), for each class of last letters
 
     @property
     def norm(self) -> float:
@@ -130,7 +139,18 @@ def unigrams(counts: DataFrame) -> Unigrams:
     for r in sums.collect():
         mass[1 + TOP_WORDS + r["k"]] = r["m"]
     mass[UNSEEN] = SMOOTH
-    return Unigrams(sizes["n"], sizes["v"], top, known, np.log(mass / mass.sum()))
+    member: dict[bytes, int] = {}
+    share, taken = np.full((SUFFIX_CLASSES, MEMBERS), 1e-6), [0] * SUFFIX_CLASSES  # a member without words: hardly any
+    for w, c in known.items():  # most frequent first
+        k = suffix_class(w) - 1 - TOP_WORDS
+        if w not in top and taken[k] < OTHERS:
+            member[w] = taken[k]
+            share[k, taken[k]] = c + SMOOTH
+            taken[k] += 1
+    rest = mass[1 + TOP_WORDS : UNSEEN] - share[:, :OTHERS].sum(axis=1)
+    share[:, OTHERS] = np.maximum(rest, 1e-6)
+    member_log = np.log(share / share.sum(axis=1, keepdims=True))
+    return Unigrams(sizes["n"], sizes["v"], top, known, np.log(mass / mass.sum()), member, member_log)
 
 
 class _Numbers(dict):
@@ -173,9 +193,25 @@ class Reader:
         rows[:, 2] = back[1] & np.uint64(WORD_ROWS - 1)
         rows[:, 3] = kinds[0] * (CLASSES + 1) + kinds[1]
         rows[:, 4] = kinds[2]
-        rows += _BASES[:-1]
+        rows += _BASES[: len(_SIZES)]
         return names, word, home, classes, rows
 
+    def members(self, names: list[bytes], word: np.ndarray, home: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of what ``read`` gave, the tokens whose class has members: their places, the words' classes (from 0), the
+        words' members, and the weight rows."""
+        at = np.flatnonzero((classes > TOP_WORDS) & (classes < UNSEEN))
+        code = np.array([zlib.crc32(w) for w in names], np.uint64)[word]
+        place = np.array([self.base.member.get(w, OTHERS) for w in names], np.int64)[word[at]]
+        kind = classes[at] - 1 - TOP_WORDS
+        last, before = (self._back(code, home, k, 1)[at] for k in (1, 2))
+        single = (last + _MIX * kind.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        pair = (single ^ before * np.uint64(0xC2B2AE3D27D4EB4F)) * _MIX
+        rows = np.empty((len(at), len(_MEMBER_SIZES)), np.int64)
+        rows[:, 0] = pair >> np.uint64(64 - PAIR_BITS)
+        rows[:, 1] = single >> np.uint64(64 - PAIR_BITS)
+        rows += _BASES[len(_SIZES) : -1]
+        return at, kind, place, rows
+
     @staticmethod
     def _back(values: np.ndarray, home: np.ndarray, k: int, start: int) -> np.ndarray:
         """The value ``k`` tokens earlier in the same text, ``start`` before its first."""
@@ -185,13 +221,14 @@ class Reader:
         return out
 
 
-def energies(weights: np.ndarray, base: Unigrams, rows: np.ndarray) -> np.ndarray:
-    """Log P(class | context) of each token's context, up to a constant a token (that is small enough to take powers of)."""
+def energies(weights: np.ndarray, prior: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Log of a softmax in each token's context, up to a constant a token (that is small enough to take powers of).
+    ``prior`` holds what the logs are without weights, for all tokens or for each of them."""
     z = np.take(weights, rows[:, 0], axis=0, mode="clip")
     more = np.empty_like(z)
     for f in range(1, rows.shape[1]):
         z += np.take(weights, rows[:, f], axis=0, mode="clip", out=more)
-    z += base.class_log.astype(np.float32)
+    z += prior.astype(np.float32, copy=False)
     top = z.max(initial=0)
     if z[:, 1].min(initial=top) > top - FAR:  # no token's largest is far below the batch's
         z -= top
@@ -207,11 +244,24 @@ def totals(powers: np.ndarray) -> np.ndarray:
 
 def class_logs(weights: np.ndarray, base: Unigrams, rows: np.ndarray) -> np.ndarray:
     """Natural log of P(class | context) of each token's context."""
-    z = energies(weights, base, rows)
+    z = energies(weights, base.class_log, rows)
     z -= np.log(totals(np.exp(z)))[:, None]
     return z
 
 
+def member_gains(weights: np.ndarray, base: Unigrams, kind: np.ndarray, place: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Natural log of P(member | class, context) over p(member) / p(class), of each of the tokens that ``Reader.members`` gave."""
+    gains = np.empty(len(kind))
+    for i in range(0, len(kind), BATCH):
+        part = slice(i, i + BATCH)
+        prior = base.member_log[kind[part]]
+        z = energies(weights, prior, rows[part])
+        mine = (np.arange(len(z)), place[part])
+        own = z[mine] - prior[mine]
+        gains[part] = own - np.log(totals(np.exp(z, out=z)))
+    return gains
+
+
 def row_sums(rows: np.ndarray, slope: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct ``rows`` (of one feature, so few enough to sort as 16 bits), and each one's sum of ``slope``. Rows
     of up to FEW tokens are summed together, a token of each at a time; the others one by one."""
@@ -231,12 +281,13 @@ def row_sums(rows: np.ndarray, slope: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return line[heads], found
 
 
-def descend(weights: np.ndarray, power: np.ndarray, base: Unigrams, rows: np.ndarray, classes: np.ndarray) -> None:
-    """One mini-batch step with per-row adaptive rates, on all rows that the batch uses."""
-    slope = energies(weights, base, rows)
+def descend(weights: np.ndarray, power: np.ndarray, prior: np.ndarray, rows: np.ndarray, right: np.ndarray) -> None:
+    """One mini-batch step with per-row adaptive rates, on all rows that the batch uses. ``right`` are the classes, or
+    the members, that the tokens have."""
+    slope = energies(weights, prior, rows)
     np.exp(slope, out=slope)
     slope /= totals(slope)[:, None]
-    slope[np.arange(len(classes)), classes] -= 1
+    slope[np.arange(len(right)), right] -= 1
     for f in range(rows.shape[1]):
         used, grad = row_sums(rows[:, f], slope)
         force = power[used] + np.einsum("ij,ij->i", grad, grad)
@@ -276,10 +327,14 @@ def train(docs: DataFrame, base: Unigrams, rounds: int = ROUNDS) -> np.ndarray:
 
             own, power, seen = begin.value.copy(), np.zeros(ROWS, np.float32), 0
             reader = Reader(shared.value)
+            class_log, member_log = (x.astype(np.float32) for x in (shared.value.class_log, shared.value.member_log))
             for _, texts in _chunks(batches):
-                _, _, _, classes, rows = reader.read(texts)
+                names, word, home, classes, rows = reader.read(texts)
                 for i in range(0, len(classes), BATCH):
-                    descend(own, power, shared.value, rows[i : i + BATCH], classes[i : i + BATCH])
+                    descend(own, power, class_log, rows[i : i + BATCH], classes[i : i + BATCH])
+                _, kind, place, rows = reader.members(names, word, home, classes)
+                for i in range(0, len(kind), BATCH):
+                    descend(own, power, member_log[kind[i : i + BATCH]], rows[i : i + BATCH], place[i : i + BATCH])
                 seen += len(classes)
             if seen:
                 part = TaskContext.get().partitionId() % FANIN
@@ -336,12 +391,14 @@ def score(docs: DataFrame, counts: DataFrame, base: Unigrams, weights: np.ndarra
             if base.tokens:
                 for i in range(0, len(word), BATCH):
                     part = slice(i, i + BATCH)
-                    z = energies(weights, base, rows[part])
+                    z = energies(weights, base.class_log, rows[part])
                     mine = classes[part]
                     own, other = z[np.arange(len(mine)), mine], z[:, UNSEEN].copy()
                     total = np.log(totals(np.exp(z, out=z)))
                     seen[part] = (own - total - base.class_log[mine]) / log10
                     unseen[part] = (other - total - base.class_log[UNSEEN]) / log10
+                at, kind, place, rows = reader.members(names, word, home, classes)
+                seen[at] += member_gains(weights, base, kind, place, rows) / log10
             count = np.array([base.known.get(w, -1) for w in names])[word]
             sure = count >= 0
             docs_n = len(texts)

@@ -44,8 +44,9 @@ def model(spark, rows):
 
 
 def test_probabilities_sum_to_one(spark):
-    rows = [(i, f"alpha beta gamma w{i} delta alpha w{i % 3}") for i in range(60)]
+    rows = [(i, f"alpha beta gamma w{i}ing delta alpha w{i % 3}") for i in range(130)]  # one class has over MEMBERS words
     docs, counts, base, weights = model(spark, rows)
+    assert len(base.member) >= M.OTHERS and len(base.known) - len(base.top) > len(base.member)
     known = [bytes(r["word"]) for r in counts.collect()]
     for context in ("", "alpha", "beta gamma", "nobody knows this"):
         texts = [f"{context} {w.decode()}" for w in known if w != M.END] + [f"{context} neverseen"]
@@ -58,8 +59,10 @@ def test_probabilities_sum_to_one(spark):
             logs = M.class_logs(weights, base, used)
             c = {bytes(r["word"]): r["c"] for r in counts.collect()} if i == 0 else c
             kind = lambda k: classes[k] if names[word[k]] in c else M.UNSEEN
+            at, *inner = reader.members(names, word, np.zeros(len(word), np.int64), classes)
+            more = dict(zip(at.tolist(), M.member_gains(weights, base, *inner), strict=True))
             each = [
-                (logs[k, kind(k)] - base.class_log[kind(k)]) / np.log(10)
+                (logs[k, kind(k)] - base.class_log[kind(k)] + (more.get(k, 0) if names[word[k]] in c else 0)) / np.log(10)
                 + math.log10((c.get(names[word[k]], 0) + 0.1) / base.norm)
                 for k in range(len(word))
             ]
@@ -88,6 +91,21 @@ def test_a_small_task_trains_every_feature(spark):
         assert np.abs(weights[np.unique(used[:, f])]).sum(axis=1).all(), f
 
 
+def test_members_of_one_class_are_told_apart(spark):
+    """Two words of equal last letters, each after another word: the second factor learns which one comes."""
+    rare = " ".join(f"common{i % 10} filler{i}" for i in range(45))
+    rows = [(i, f"{rare} left upperend right lowerend " * 400) for i in range(40)]
+    docs, counts, base, weights = model(spark, rows)
+    assert b"upperend" not in base.top and M.suffix_class(b"upperend") == M.suffix_class(b"lowerend")
+    texts = ["left upperend", "left lowerend", "right lowerend", "right upperend"]
+    reader = M.Reader(base)
+    names, word, home, classes, _ = reader.read(texts)
+    at, kind, place, used = reader.members(names, word, home, classes)
+    gains = dict(zip(at.tolist(), M.member_gains(weights, base, kind, place, used), strict=True))
+    ends = [gains[i] for i in range(len(word)) if names[word[i]] in (b"upperend", b"lowerend")]
+    assert ends[0] > ends[1] + 0.5 and ends[2] > ends[3] + 0.5, ends
+
+
 def test_row_sums():
     rng = np.random.default_rng(3)
     for n, size in ((1, 5), (500, 3), (500, 5000), (8192, 65)):
