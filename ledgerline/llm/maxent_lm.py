@@ -33,6 +33,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +57,7 @@ KNOWN = 200_000
 ROUNDS = 1
 RATE = 0.25
 BATCH = 8192
+SLICE = 2048  # tokens whose energies are taken at a time: few enough for a core's cache
 BLOCK_ROWS = 2048
 FANIN = 16
 FEW = 32
@@ -170,15 +172,10 @@ class Reader:
     def read(self, texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Distinct words, and for each token its word, its text, its class, its weight rows."""
         number = _Numbers({END: 0})
-        at: list[int] = []
-        sizes = []
-        for text in texts:
-            found = words(text)
-            at += map(number.__getitem__, found)
-            at.append(0)
-            sizes.append(len(found) + 1)
+        found = [words(text) + [END] for text in texts]
+        sizes = [len(f) for f in found]
+        word = np.fromiter(map(number.__getitem__, chain.from_iterable(found)), np.int64, sum(sizes))
         names = list(number)
-        word = np.array(at, np.int64)
         home = np.repeat(np.arange(len(texts)), sizes)
         top = self.base.top
         kind = np.array([top[w] if w in top else suffix_class(w) for w in names], np.int64)
@@ -252,9 +249,10 @@ def class_logs(weights: np.ndarray, base: Unigrams, rows: np.ndarray) -> np.ndar
 def member_gains(weights: np.ndarray, base: Unigrams, kind: np.ndarray, place: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Natural log of P(member | class, context) over p(member) / p(class), of each of the tokens that ``Reader.members`` gave."""
     gains = np.empty(len(kind))
-    for i in range(0, len(kind), BATCH):
-        part = slice(i, i + BATCH)
-        prior = base.member_log[kind[part]]
+    logs = base.member_log.astype(np.float32)
+    for i in range(0, len(kind), SLICE):
+        part = slice(i, i + SLICE)
+        prior = logs[kind[part]]
         z = energies(weights, prior, rows[part])
         mine = (np.arange(len(z)), place[part])
         own = z[mine] - prior[mine]
@@ -264,10 +262,13 @@ def member_gains(weights: np.ndarray, base: Unigrams, kind: np.ndarray, place: n
 
 def row_sums(rows: np.ndarray, slope: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct ``rows`` (of one feature, so few enough to sort as 16 bits), and each one's sum of ``slope``. Rows
-    of up to FEW tokens are summed together, a token of each at a time; the others one by one."""
+    of up to FEW tokens are summed together, a token of each at a time; the others one by one, in one go where
+    they are most."""
     order = np.argsort((rows - rows.min()).astype(np.uint16), kind="stable")  # a radix sort
     line = rows[order]
     heads = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
+    if len(heads) * FEW < len(line):
+        return line[heads], np.add.reduceat(np.take(slope, order, axis=0, mode="clip"), heads, axis=0)
     sizes = np.diff(heads, append=len(line))
     found = np.take(slope, order[heads], axis=0, mode="clip")
     for i in np.flatnonzero(sizes > FEW).tolist():
@@ -284,9 +285,12 @@ def row_sums(rows: np.ndarray, slope: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def descend(weights: np.ndarray, power: np.ndarray, prior: np.ndarray, rows: np.ndarray, right: np.ndarray) -> None:
     """One mini-batch step with per-row adaptive rates, on all rows that the batch uses. ``right`` are the classes, or
     the members, that the tokens have."""
-    slope = energies(weights, prior, rows)
-    np.exp(slope, out=slope)
-    slope /= totals(slope)[:, None]
+    slope = np.empty((len(rows), weights.shape[1]), np.float32)
+    for i in range(0, len(rows), SLICE):
+        part = slice(i, i + SLICE)
+        raised = energies(weights, prior if prior.ndim == 1 else prior[part], rows[part])
+        np.exp(raised, out=raised)
+        np.divide(raised, totals(raised)[:, None], out=slope[part])
     slope[np.arange(len(right)), right] -= 1
     for f in range(rows.shape[1]):
         used, grad = row_sums(rows[:, f], slope)
@@ -389,8 +393,8 @@ def score(docs: DataFrame, counts: DataFrame, base: Unigrams, weights: np.ndarra
             names, word, home, classes, rows = reader.read(texts)
             seen, unseen = np.zeros(len(word)), np.zeros(len(word))
             if base.tokens:
-                for i in range(0, len(word), BATCH):
-                    part = slice(i, i + BATCH)
+                for i in range(0, len(word), SLICE):
+                    part = slice(i, i + SLICE)
                     z = energies(weights, base.class_log, rows[part])
                     mine = classes[part]
                     own, other = z[np.arange(len(mine)), mine], z[:, UNSEEN].copy()
