@@ -175,6 +175,7 @@ class Reader:
         found = [words(text) + [END] for text in texts]
         sizes = [len(f) for f in found]
         word = np.fromiter(map(number.__getitem__, chain.from_iterable(found)), np.int64, sum(sizes))
+        del found  # a million objects
         names = list(number)
         home = np.repeat(np.arange(len(texts)), sizes)
         top = self.base.top
