@@ -101,3 +101,14 @@ def test_latest_with_one_hot_key(spark):
     digests = {hashlib.sha256("|".join(r).encode()).hexdigest(): r for r in ties}
     assert hot.payload == digests[max(digests)][0]
     assert "partial_max" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_join_on_the_key_of_latest_needs_no_second_shuffle(spark):
+    rows = [(f"{i % 3}", f"K{i % 40}", "2026-10-01T01:00:00Z") for i in range(200)]
+    df = spark.createDataFrame(rows, "payload string, record_id string, updated_at string").repartition(6)
+    columns = ["payload", "record_id", "updated_at"]
+    picked = latest(df, "record_id", hash_columns=columns)
+    assert picked.columns == columns and picked.count() == 40
+    grouped = picked.groupBy("record_id").agg(F.count("payload").alias("n"))
+    assert grouped.filter("n = 1").count() == 40
+    assert grouped._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
