@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.contracts import PAGE_ORDER
 from ledgerline.functions.digests import row_digest
+from ledgerline.sources import tables
 
 KEY = "_order"
 RANGE = "page_range"
@@ -60,9 +61,19 @@ def following(df: DataFrame, cursor: str | None, size: int) -> DataFrame:
 
 def write_pages(df: DataFrame, path: str, rows_per_range: int = ROWS_PER_RANGE) -> None:
     """Write ``df`` below ``path``: sorted rows in range folders, and the directory. The number of ranges follows the
-    number of rows, so a range stays as large as it is however much there is."""
+    number of rows, so a range stays as large as it is however much there is. The rows are counted, sampled for the range
+    bounds and dealt, so they are computed once and kept in files until they are sorted."""
     if rows_per_range < 1:
         raise ValueError("a range holds at least one row")
+    spark, unsorted = df.sparkSession, f"{path}/unsorted"
+    try:
+        df.write.mode("errorifexists").parquet(unsorted)
+        _write_sorted(spark.read.schema(df.schema).parquet(unsorted), path, rows_per_range)
+    finally:
+        tables.delete(spark, unsorted)
+
+
+def _write_sorted(df: DataFrame, path: str, rows_per_range: int) -> None:
     ranges = max(1, -(-df.count() // rows_per_range))
     keyed = df.withColumn(KEY, order_key(df))
     # equal rows are dealt by their place in the input, so many copies of a row do not meet in one range
