@@ -30,13 +30,12 @@ table gives no rows. Only doc_id and text are read.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,6 +63,7 @@ FEW = 32
 FAR = 60  # e ** -FAR is far above the least float
 CHUNK_WORDS = 1_000_000
 COUNT_WORDS = 400_000
+COUNT_BYTES = 16 << 20
 PAIR_BITS = 13
 WORD_ROWS, PAIR_ROWS = 4096, 1 << PAIR_BITS  # powers of two
 _SIZES = (WORD_ROWS, PAIR_ROWS, WORD_ROWS, (CLASSES + 1) ** 2, CLASSES + 1)  # features of the class
@@ -77,25 +77,45 @@ def words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and ASCII space only
 
 
+def split(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """What ``words`` gives for each of ``texts``: all their words in one array, and the number of each text's."""
+    coded = pa.array([text.encode("utf-8", "surrogatepass") for text in texts], pa.large_binary())
+    found = pc.ascii_split_whitespace(pc.ascii_lower(coded.view(pa.large_string())))  # A-Z and ASCII space only
+    sizes = np.diff(found.offsets.to_numpy())
+    flat = found.flatten()
+    full = pc.binary_length(flat).to_numpy() > 0  # white space at an end of a text leaves an empty string
+    if not full.all():
+        sizes = np.bincount(np.repeat(np.arange(len(texts)), sizes)[full], minlength=len(texts))
+        flat = flat.filter(pa.array(full))
+    return flat.view(pa.large_binary()), sizes
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """word (binary), c: occurrences of every token in ``docs`` (text), ends included."""
     common.prepare(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
+        none = pa.table({"word": pa.array([], pa.large_binary()), "n": pa.array([], pa.int64())})
+        counts, fresh, ends = none, [], 0
+
+        def counted() -> pa.Table:
+            new = pa.chunked_array(fresh, pa.large_binary()).value_counts()
+            both = pa.concat_tables([counts, pa.table({"word": new.field("values"), "n": new.field("counts")})])
+            return both.group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns({"n_sum": "n"})
 
-        def rows() -> pa.RecordBatch:
-            columns = [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())]
-            return pa.RecordBatch.from_arrays(columns, names=["word", "n"])
+        def rows(counts: pa.Table) -> Iterator[pa.RecordBatch]:
+            yield from counts.select(["word", "n"]).cast(pa.schema([("word", pa.binary()), ("n", pa.int64())])).to_batches()
 
         for batch in batches:
-            for text in common.texts(batch):
-                counts.update(words(text))
-            counts[END] += batch.num_rows
-            if len(counts) > COUNT_WORDS:
-                yield rows()
-                counts = Counter()
-        yield rows()
+            fresh.append(split(common.texts(batch))[0])
+            ends += batch.num_rows
+            if sum(f.nbytes for f in fresh) > COUNT_BYTES:
+                counts, fresh = counted(), []
+                if counts.num_rows > COUNT_WORDS:
+                    yield from rows(counts)
+                    counts = none
+        yield from rows(counted())
+        yield pa.RecordBatch.from_arrays([pa.array([END], pa.binary()), pa.array([ends], pa.int64())], names=["word", "n"])
 
     counted = docs.select("text").mapInArrow(count, "word binary, n long")
     return counted.filter("n > 0").groupBy("word").agg(F.sum("n").alias("c"))
@@ -155,14 +175,6 @@ def unigrams(counts: DataFrame) -> Unigrams:
     return Unigrams(sizes["n"], sizes["v"], top, known, np.log(mass / mass.sum()), member, member_log)
 
 
-class _Numbers(dict):
-    """Numbers for words in the order in which they are first asked for."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self)
-        return number
-
-
 class Reader:
     """Documents as arrays: of each token its word, its class and its context's weight rows."""
 
@@ -171,21 +183,24 @@ class Reader:
 
     def read(self, texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Distinct words, and for each token its word, its text, its class, its weight rows."""
-        number = _Numbers({END: 0})
-        found = [words(text) + [END] for text in texts]
-        sizes = [len(f) for f in found]
-        word = np.fromiter(map(number.__getitem__, chain.from_iterable(found)), np.int64, sum(sizes))
-        del found  # a million objects
-        names = list(number)
-        home = np.repeat(np.arange(len(texts)), sizes)
+        flat, sizes = split(texts)
+        numbered = flat.dictionary_encode()
+        names = [END, *numbered.dictionary.to_numpy(zero_copy_only=False).tolist()]
+        home = np.repeat(np.arange(len(texts)), sizes + 1)
+        inner = np.ones(len(home), bool)
+        inner[np.cumsum(sizes + 1) - 1] = False
+        word = np.zeros(len(home), np.int64)  # an end is 0
+        word[inner] = numbered.indices.to_numpy() + 1
         top = self.base.top
-        kind = np.array([top[w] if w in top else suffix_class(w) for w in names], np.int64)
-        code = np.array([zlib.crc32(w) for w in names], np.uint64)
+        tails = [w[-SUFFIX_BYTES:] for w in names]
+        suffix = {t: suffix_class(t) for t in set(tails)}
+        kind = np.array([top[w] if w in top else suffix[t] for w, t in zip(names, tails, strict=True)], np.int64)
+        code = np.fromiter(map(zlib.crc32, names), np.uint64, len(names))
         classes = kind[word]
         back = [self._back(code[word], home, k, 1) for k in (1, 2)]
         kinds = [self._back(classes, home, k, START) for k in (1, 2, 3)]
         pair = back[0] * np.uint64(0x9E3779B97F4A7C15) ^ back[1] * np.uint64(0xC2B2AE3D27D4EB4F)
-        rows = np.empty((len(word), len(_SIZES)), np.int64)
+        rows = np.empty((len(_SIZES), len(word)), np.int64).T  # a feature's rows lie together
         rows[:, 0] = back[0] & np.uint64(WORD_ROWS - 1)
         rows[:, 1] = pair >> np.uint64(64 - PAIR_BITS)
         rows[:, 2] = back[1] & np.uint64(WORD_ROWS - 1)
@@ -198,13 +213,13 @@ class Reader:
         """Of what ``read`` gave, the tokens whose class has members: their places, the words' classes (from 0), the
         words' members, and the weight rows."""
         at = np.flatnonzero((classes > TOP_WORDS) & (classes < UNSEEN))
-        code = np.array([zlib.crc32(w) for w in names], np.uint64)[word]
+        code = np.fromiter(map(zlib.crc32, names), np.uint64, len(names))[word]
         place = np.array([self.base.member.get(w, OTHERS) for w in names], np.int64)[word[at]]
         kind = classes[at] - 1 - TOP_WORDS
         last, before = (self._back(code, home, k, 1)[at] for k in (1, 2))
         single = (last + _MIX * kind.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
         pair = (single ^ before * np.uint64(0xC2B2AE3D27D4EB4F)) * _MIX
-        rows = np.empty((len(at), len(_MEMBER_SIZES)), np.int64)
+        rows = np.empty((len(_MEMBER_SIZES), len(at)), np.int64).T
         rows[:, 0] = pair >> np.uint64(64 - PAIR_BITS)
         rows[:, 1] = single >> np.uint64(64 - PAIR_BITS)
         rows += _BASES[len(_SIZES) : -1]
@@ -263,24 +278,27 @@ def member_gains(weights: np.ndarray, base: Unigrams, kind: np.ndarray, place: n
 
 def row_sums(rows: np.ndarray, slope: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct ``rows`` (of one feature, so few enough to sort as 16 bits), and each one's sum of ``slope``. Rows
-    of up to FEW tokens are summed together, a token of each at a time; the others one by one, in one go where
-    they are most."""
+    of up to FEW tokens are summed together, a token of each at a time, those of most tokens first, so that the rows
+    still open are always the first ones; the others are summed one by one, as products."""
     order = np.argsort((rows - rows.min()).astype(np.uint16), kind="stable")  # a radix sort
     line = rows[order]
     heads = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
-    if len(heads) * FEW < len(line):
-        return line[heads], np.add.reduceat(np.take(slope, order, axis=0, mode="clip"), heads, axis=0)
     sizes = np.diff(heads, append=len(line))
-    found = np.take(slope, order[heads], axis=0, mode="clip")
-    for i in np.flatnonzero(sizes > FEW).tolist():
-        found[i] = slope[order[heads[i] : heads[i] + sizes[i]]].sum(axis=0)
-    open_ = np.flatnonzero((sizes > 1) & (sizes <= FEW))
-    k = 1
-    while len(open_):
-        found[open_] += np.take(slope, order[heads[open_] + k], axis=0, mode="clip")
-        k += 1
-        open_ = open_[sizes[open_] > k]
-    return line[heads], found
+    by = np.argsort(-sizes, kind="stable")
+    first, many = heads[by], int(np.count_nonzero(sizes > FEW))
+    found, ones = np.empty((len(heads), slope.shape[1]), slope.dtype), np.ones(int(sizes.max()), slope.dtype)
+    for i, (h, n) in enumerate(zip(first[:many].tolist(), sizes[by[:many]].tolist(), strict=True)):
+        np.matmul(ones[:n], np.take(slope, order[h : h + n], axis=0, mode="clip"), out=found[i])
+    few, more = found[many:], np.empty_like(found[many:])
+    np.take(slope, order[first[many:]], axis=0, mode="clip", out=few)
+    for k in range(1, FEW):
+        left = int(np.count_nonzero(sizes > k)) - many
+        if not left:
+            break
+        few[:left] += np.take(slope, order[first[many : many + left] + k], axis=0, mode="clip", out=more[:left])
+    sums = np.empty_like(found)
+    sums[by] = found
+    return line[heads], sums
 
 
 def descend(weights: np.ndarray, power: np.ndarray, prior: np.ndarray, rows: np.ndarray, right: np.ndarray) -> None:
@@ -291,7 +309,7 @@ def descend(weights: np.ndarray, power: np.ndarray, prior: np.ndarray, rows: np.
         part = slice(i, i + SLICE)
         raised = energies(weights, prior if prior.ndim == 1 else prior[part], rows[part])
         np.exp(raised, out=raised)
-        np.divide(raised, totals(raised)[:, None], out=slope[part])
+        np.multiply(raised, (1 / totals(raised))[:, None], out=slope[part])
     slope[np.arange(len(right)), right] -= 1
     for f in range(rows.shape[1]):
         used, grad = row_sums(rows[:, f], slope)

@@ -116,6 +116,31 @@ def test_row_sums():
             assert line == pytest.approx(slope[rows == r].sum(axis=0), rel=1e-4)
 
 
+def test_texts_are_split_without_an_object_a_word(spark, monkeypatch):
+    """Reading and counting give what ``words`` gives, ends included, without calling it."""
+    plain = M.words
+    every = "".join(f"A{chr(i)}b" for i in range(0x250)) + "\u0085x\u2003y\ufeffz"
+    texts = ["", " ", "\n\t one  TWO\x1cthree\r", "one", "x\x00y İ É ß\x0b\x0cEND\n", "\ud800 lone", every, "a" * 70_000, *filter(None, ODD_TEXTS)]
+    counts = M.word_counts(docs_frame(spark, [(i, "b a B") for i in range(3)]))
+    monkeypatch.setattr(M, "words", None)
+    names, word, home, _, _ = M.Reader(M.unigrams(counts)).read(texts)
+    for i, text in enumerate(texts):
+        assert [names[k] for k in word[home == i]] == [*plain(text), M.END], text[:50]
+    flat, sizes = M.split(texts)
+    assert flat.to_pylist() == [w for t in texts for w in plain(t)] and sizes.tolist() == [len(plain(t)) for t in texts]
+    assert M.split([])[1].tolist() == M.split([""])[0].to_pylist() == []
+
+
+@pytest.mark.parametrize("few", [1, 10**9])
+def test_words_are_counted_in_parts(spark, monkeypatch, few):
+    """Each batch's words are folded into the counts, which are handed on at once or held to the end."""
+    monkeypatch.setattr(M, "COUNT_BYTES", 1)
+    monkeypatch.setattr(M, "COUNT_WORDS", few)
+    rows = [(i, f"One w{i % 7} two two  ") for i in range(1300)] + [(None, None)]
+    got = {bytes(r["word"]): r["c"] for r in M.word_counts(docs_frame(spark, rows).coalesce(1)).collect()}
+    assert got == Counter(t for _, x in rows for t in tokens(x))
+
+
 def test_odd_rows(spark):
     rows = [*enumerate(ODD_TEXTS), (3, "again"), (3, "again"), (None, "no id")]
     docs, counts, base, weights = model(spark, rows)
