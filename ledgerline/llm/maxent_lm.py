@@ -95,27 +95,33 @@ def word_counts(docs: DataFrame) -> DataFrame:
     common.prepare(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        none = pa.table({"word": pa.array([], pa.large_binary()), "n": pa.array([], pa.int64())})
-        counts, fresh, ends = none, [], 0
+        counts: dict[bytes, int] = {}
+        fresh: list[pa.Array] = []
+        size = 0
 
-        def counted() -> pa.Table:
+        def fold() -> None:
             new = pa.chunked_array(fresh, pa.large_binary()).value_counts()
-            both = pa.concat_tables([counts, pa.table({"word": new.field("values"), "n": new.field("counts")})])
-            return both.group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns({"n_sum": "n"})
+            found = new.field("values").to_numpy(zero_copy_only=False).tolist()
+            for word, n in zip(found, new.field("counts").to_numpy().tolist(), strict=True):
+                counts[word] = counts.get(word, 0) + n
+            fresh.clear()
 
-        def rows(counts: pa.Table) -> Iterator[pa.RecordBatch]:
-            yield from counts.select(["word", "n"]).cast(pa.schema([("word", pa.binary()), ("n", pa.int64())])).to_batches()
+        def rows() -> pa.RecordBatch:
+            columns = [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, names=["word", "n"])
 
         for batch in batches:
             fresh.append(split(common.texts(batch))[0])
-            ends += batch.num_rows
-            if sum(f.nbytes for f in fresh) > COUNT_BYTES:
-                counts, fresh = counted(), []
-                if counts.num_rows > COUNT_WORDS:
-                    yield from rows(counts)
-                    counts = none
-        yield from rows(counted())
-        yield pa.RecordBatch.from_arrays([pa.array([END], pa.binary()), pa.array([ends], pa.int64())], names=["word", "n"])
+            counts[END] = counts.get(END, 0) + batch.num_rows
+            size += fresh[-1].nbytes
+            if size > COUNT_BYTES:
+                fold()
+                size = 0
+                if len(counts) > COUNT_WORDS:
+                    yield rows()
+                    counts.clear()
+        fold()
+        yield rows()
 
     counted = docs.select("text").mapInArrow(count, "word binary, n long")
     return counted.filter("n > 0").groupBy("word").agg(F.sum("n").alias("c"))
@@ -195,9 +201,9 @@ class Reader:
         tails = [w[-SUFFIX_BYTES:] for w in names]
         suffix = {t: suffix_class(t) for t in set(tails)}
         kind = np.array([top[w] if w in top else suffix[t] for w, t in zip(names, tails, strict=True)], np.int64)
-        code = np.fromiter(map(zlib.crc32, names), np.uint64, len(names))
+        code = np.fromiter(map(zlib.crc32, names), np.uint64, len(names))[word]
         classes = kind[word]
-        back = [self._back(code[word], home, k, 1) for k in (1, 2)]
+        back = [self._back(code, home, k, 1) for k in (1, 2)]
         kinds = [self._back(classes, home, k, START) for k in (1, 2, 3)]
         pair = back[0] * np.uint64(0x9E3779B97F4A7C15) ^ back[1] * np.uint64(0xC2B2AE3D27D4EB4F)
         rows = np.empty((len(_SIZES), len(word)), np.int64).T  # a feature's rows lie together
