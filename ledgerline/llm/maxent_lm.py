@@ -285,16 +285,18 @@ def member_gains(weights: np.ndarray, base: Unigrams, kind: np.ndarray, place: n
 def row_sums(rows: np.ndarray, slope: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct ``rows`` (of one feature, so few enough to sort as 16 bits), and each one's sum of ``slope``. Rows
     of up to FEW tokens are summed together, a token of each at a time, those of most tokens first, so that the rows
-    still open are always the first ones; the others are summed one by one, as products."""
+    still open are always the first ones; the others one by one, in one go where they are most."""
     order = np.argsort((rows - rows.min()).astype(np.uint16), kind="stable")  # a radix sort
     line = rows[order]
     heads = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
+    if len(heads) * FEW < len(line):
+        return line[heads], np.add.reduceat(np.take(slope, order, axis=0, mode="clip"), heads, axis=0)
     sizes = np.diff(heads, append=len(line))
     by = np.argsort(-sizes, kind="stable")
     first, many = heads[by], int(np.count_nonzero(sizes > FEW))
-    found, ones = np.empty((len(heads), slope.shape[1]), slope.dtype), np.ones(int(sizes.max()), slope.dtype)
+    found = np.empty((len(heads), slope.shape[1]), slope.dtype)
     for i, (h, n) in enumerate(zip(first[:many].tolist(), sizes[by[:many]].tolist(), strict=True)):
-        np.matmul(ones[:n], np.take(slope, order[h : h + n], axis=0, mode="clip"), out=found[i])
+        np.add.reduce(np.take(slope, order[h : h + n], axis=0, mode="clip"), axis=0, out=found[i])
     few, more = found[many:], np.empty_like(found[many:])
     np.take(slope, order[first[many:]], axis=0, mode="clip", out=few)
     for k in range(1, FEW):
@@ -315,7 +317,7 @@ def descend(weights: np.ndarray, power: np.ndarray, prior: np.ndarray, rows: np.
         part = slice(i, i + SLICE)
         raised = energies(weights, prior if prior.ndim == 1 else prior[part], rows[part])
         np.exp(raised, out=raised)
-        np.multiply(raised, (1 / totals(raised))[:, None], out=slope[part])
+        np.divide(raised, totals(raised)[:, None], out=slope[part])
     slope[np.arange(len(right)), right] -= 1
     for f in range(rows.shape[1]):
         used, grad = row_sums(rows[:, f], slope)
