@@ -60,6 +60,7 @@ SLICE = 2048  # tokens whose energies are taken at a time: few enough for a core
 BLOCK_ROWS = 2048
 FANIN = 16
 FEW = 32
+PAD = 16  # keeps the lines of a column from sharing a few places of the cache
 FAR = 60  # e ** -FAR is far above the least float
 CHUNK_WORDS = 1_000_000
 COUNT_WORDS = 400_000
@@ -290,7 +291,9 @@ def row_sums(rows: np.ndarray, slope: np.ndarray) -> tuple[np.ndarray, np.ndarra
     line = rows[order]
     heads = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
     if len(heads) * FEW < len(line):
-        return line[heads], np.add.reduceat(np.take(slope, order, axis=0, mode="clip"), heads, axis=0)
+        apart = np.empty((len(line), slope.shape[1] + PAD), slope.dtype)[:, : slope.shape[1]]
+        apart[:] = np.take(slope, order, axis=0, mode="clip")
+        return line[heads], np.add.reduceat(apart, heads, axis=0)
     sizes = np.diff(heads, append=len(line))
     by = np.argsort(-sizes, kind="stable")
     first, many = heads[by], int(np.count_nonzero(sizes > FEW))
