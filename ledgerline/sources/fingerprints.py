@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.contracts import FIELDS, KEY
-from ledgerline.functions.digests import as_text, limb_sums, limbs, row_digest
+from ledgerline.functions.digests import as_text, limb_sums, row_digest, word_sums, words
 
 CHUNK_BYTES = 8 * 1024 * 1024
 
@@ -88,8 +88,8 @@ def hash_tree(drops: DataFrame, kind: str) -> DataFrame:
     """(source, batch_date, bucket, rows, four limbs): the buckets of every day of raw ``drops``."""
     bucket = F.substring(F.sha2(F.coalesce(F.col(KEY[kind]), F.lit("")), 256), 1, 2)
     digest = row_digest(FIELDS[kind])
-    rows = drops.select(F.lit(kind).alias("source"), "batch_date", bucket.alias("bucket"), F.lit(1).alias("n"), *limbs(digest))
-    return rows.groupBy("source", "batch_date", "bucket").agg(F.sum("n").alias("rows"), *limb_sums())
+    rows = drops.select(F.lit(kind).alias("source"), "batch_date", bucket.alias("bucket"), digest.alias("digest"))
+    return rows.groupBy("source", "batch_date", "bucket").agg(F.count(F.lit(1)).alias("rows"), *word_sums(words(F.col("digest"))))
 
 
 def day_digests(tree: DataFrame) -> DataFrame:
