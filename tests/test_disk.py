@@ -32,6 +32,15 @@ def shuffle_files(spark):
     return {f for folder in folders for f in glob.glob(f"{folder}/**/shuffle_*.data", recursive=True)}
 
 
+def test_metrics_shuffle_narrow_rows(spark, lineitem_dir, queries):  # noqa: F811
+    metrics = queries["quality_metrics"](spark, lineitem_dir)
+    lines = latest_rows(metrics)
+    assert lines and not [line for line in lines if "penalty" in line or "source_file" in line]
+    rows = {r["source"]: r for r in metrics.collect()}
+    assert rows["funding"]["input"] == 1200 and rows["funding"]["valid"] == 1200 - rows["funding"]["quarantined"] > 0
+    assert rows["payouts"]["input"] == rows["payouts"]["valid"] + rows["payouts"]["quarantined"] + rows["payouts"]["duplicate_versions"]
+
+
 def test_same_date_reconciliation_shuffles_a_date_once(spark, lineitem_dir, queries):  # noqa: F811
     ledger = queries["reconcile_same_date"](spark, lineitem_dir)
     plan = plan_of(ledger)
